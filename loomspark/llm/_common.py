@@ -14,7 +14,7 @@ from pyspark.sql import Window
 #: A word is a run of characters other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one task of a ranking window holds on average, at most.
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_048
 #: Broadcast a table of this many (narrow) rows at most; beyond, join by shuffle.
 BROADCAST_ROWS = 50_000
 

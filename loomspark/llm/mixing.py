@@ -81,8 +81,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, i
     the row's size. keep names further columns of docs to carry (with the text, this shuffles the texts).
     """
     slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *keep)
-    if not keep:
-        slim = stage(slim, "mix-sizes")
+    slim = stage(slim, "mix-sizes")
     n, words = slim.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).head()
     block = block_words or max(BLOCK_WORDS, -(-words * share[0] // (share[1] * MAX_SLOTS)))
     targets = stage(source_targets(slim, weights, share, most), "mix-targets")
@@ -94,7 +93,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, i
     first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)
     pieces = rows.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     pieces = pieces.withColumns({"_from": F.greatest("at", F.col("block") * block), "_to": F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block)})
-    s = slots.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "position", "upto")
+    s = slots.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "position", "upto").hint("merge")  # slots grow with the input: never broadcast
     got = pieces.join(s, pieces.source.eqNullSafe(s._source) & (pieces.block == s._block), "left")
     words_taken = F.when(F.col("upto").isNull(), 0).otherwise(F.greatest(F.least("_to", "upto") - F.col("_from"), F.lit(0)))
     same = ["doc_id", "source", "size", "at", *keep]
@@ -103,3 +102,20 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, i
     info = broadcast_if_small(targets.select(F.col("source").alias("_source"), "source_size", "target"))
     every = taken.unionByName(none)
     return every.join(info, every.source.eqNullSafe(info._source), "inner").select("doc_id", *keep, "size", "source_size", "target", "taken", "first_position", "source")
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as it is taken (a part taken counts if half or more).
+
+    Only ids and sizes go through the schedule; texts are joined once. Rows that are alike are one row with
+    their repeats added up.
+    """
+    keyed = docs.withColumn("_mix", F.xxhash64(*docs.columns))
+    taken = mix(keyed, weights, share, most, keep=("_mix",))
+    times = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5).cast("long")
+    repeats = stage(taken.groupBy("_mix").agg(F.sum(times).alias("_times"), F.count("*").alias("_rows")).where("_times > 0"), "mix-repeats")
+    joined = keyed.join(repeats, "_mix")
+    row = F.struct(*docs.columns).alias("_row")
+    once = joined.where("_rows = 1").select("_times", row)
+    several = joined.where("_rows > 1").groupBy("_mix", "_times").agg(F.first(F.struct(*docs.columns)).alias("_row")).select("_times", "_row")
+    return once.unionByName(several).select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select("_row.*")

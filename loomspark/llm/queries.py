@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, linededup, mixing, packing, secrets
+from . import hilbert, htmltext, langid, linededup, minhash, mixing, packing, quality, rpforest, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,23 @@ def op5_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *quality.COUNTS, "base_failed", "kept", "rule")
+
+
+def op7_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rpforest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), 3, (85, 100)).drop("node")
+
+
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.remove_boilerplate(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
@@ -37,9 +58,14 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_byte_network": op2_byte_network,
     "op3_secret_ownership": op3_secret_ownership,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_bin_completion": op5_bin_completion,
+    "op6_decision_list": op6_decision_list,
+    "op7_projection_forest": op7_projection_forest,
+    "op8_host_consensus": op8_host_consensus,
+    "op9_minhash_components": op9_minhash_components,
     "op10_line_spread": op10_line_spread,
 }
 
