@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches, stage
+from ._common import WORD, small_batches, stage
 from .components import connected_components
 
 #: 196 minima in 28 bands of 7: a pair at similarity 0.85 escapes all bands with probability 2e-5, at 0.8 with 1.4e-3.
@@ -57,18 +57,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-def shingles(text: str, k: int, words: dict) -> np.ndarray:
-    """The sorted distinct hashes of the k-word shingles of a text of words between single spaces."""
-    if not text:
+def normal(text: str | None) -> list[bytes]:
+    """The words of a text, A-Z in lower case; bytes split at exactly the six ASCII blanks."""
+    return (text or "").encode().lower().split()
+
+
+def _node(words: list[bytes]) -> int | None:
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63) if words else None
+
+
+def shingles(tokens: list[bytes], k: int, words: dict) -> np.ndarray:
+    """The sorted distinct hashes of the k-word shingles; fewer words are one shingle."""
+    if not tokens:
         return np.empty(0, np.uint64)
-    h = np.array([words[w] for w in text.split(" ")], dtype=np.uint64)
+    h = np.array([words[w] for w in tokens], dtype=np.uint64)
     n = max(1, len(h) - k + 1)
     x = np.full(n, min(len(h), k), dtype=np.uint64)
     for i in range(min(k, len(h))):
@@ -85,19 +94,13 @@ def signature(x: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 28) -> np
     return out
 
 
-def normal(text: Column) -> Column:
-    """Lower case A-Z, words between single spaces."""
-    upper = "".join(map(chr, range(65, 91)))
-    spaced = F.regexp_replace(F.translate(text, upper, upper.lower()), r"[\x20\x09-\x0D]+", " ")
-    return F.coalesce(F.trim(spaced), F.lit(""))
-
-
-def _node(norm: Column) -> Column:
-    return F.when(norm != "", F.xxhash64(norm))
+def _row(docs: DataFrame) -> Column:
+    """A row's key, from its id and text."""
+    return F.xxhash64("doc_id", F.xxhash64("text"))
 
 
 def features(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, node, n_shingles, bands of each row."""
+    """doc_id, row, node, n_shingles, bands of each row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     small_batches(docs.sparkSession)
 
@@ -106,9 +109,11 @@ def features(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
         salt = _mix(np.arange(1, bands + 1, dtype=np.uint64))
         with np.errstate(over="ignore"):
             for batch in batches:
-                count, found = [], []
+                node, count, found = [], [], []
                 for text in batch.column(2).to_pylist():
-                    x = shingles(text, k, words)
+                    tokens = normal(text)
+                    x = shingles(tokens, k, words)
+                    node.append(_node(tokens))
                     count.append(len(x))
                     if len(x):
                         band = salt.copy()
@@ -117,10 +122,9 @@ def features(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                         found.append(band.view(np.int64))
                     else:
                         found.append(None)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array(count, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "row", "node", "n_shingles", "bands"])
 
-    norm = docs.select("doc_id", normal(F.col("text")).alias("norm")).select("doc_id", _node(F.col("norm")).alias("node"), "norm")
-    return norm.mapInArrow(run, f"doc_id {kind}, node bigint, n_shingles bigint, bands array<bigint>")
+    return docs.select("doc_id", _row(docs).alias("row"), "text").mapInArrow(run, f"doc_id {kind}, row bigint, node bigint, n_shingles bigint, bands array<bigint>")
 
 
 def _links(names: list[int], sets: list[np.ndarray], sides: np.ndarray, across: bool, threshold: tuple[int, int], a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -155,7 +159,7 @@ def _links(names: list[int], sets: list[np.ndarray], sides: np.ndarray, across:
 
 
 def verified(groups: DataFrame, k: int, threshold: tuple[int, int], n_hashes: int) -> DataFrame:
-    """Links (u, v) within each group of rows (cluster, b1, b2, side, node, norm), one group at a time."""
+    """Links (u, v) within each group of rows (cluster, b1, b2, side, node, text), one group at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, (a, b) = _Words(), coefficients(n_hashes)
@@ -174,53 +178,52 @@ def verified(groups: DataFrame, k: int, threshold: tuple[int, int], n_hashes: in
         with np.errstate(over="ignore"):
             for batch in batches:
                 found = []
-                for cluster, b1, b2, side, node, norm in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for cluster, b1, b2, side, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if (cluster, b1, b2) != key:
                         found += close()
                         key, rows = (cluster, b1, b2), {}
                     if node not in rows:
-                        rows[node] = (side, shingles(norm, k, words))
+                        rows[node] = (side, shingles(normal(text), k, words))
                 yield batch_of(found)
             yield batch_of(close())
 
-    return groups.select("cluster", "b1", "b2", "side", "node", "norm").mapInArrow(run, "u bigint, v bigint")
+    return groups.select("cluster", "b1", "b2", "side", "node", "text").mapInArrow(run, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept (and node) for each row of docs(doc_id, text).
+    """doc_id, n_shingles, component_id, kept, root and row (keys of the component and the row) for each row of docs(doc_id, text).
 
     Two documents are linked if whole * |A and B| >= part * |A or B| for threshold = (part, whole).
     """
     bands, rows = bands_for(threshold[0] / threshold[1])
     every = stage(features(docs, k, bands, rows), "minhash")
-    nodes = stage(every.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "minhash-nodes")
+    nodes = every.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("row").alias("source"), F.first("bands").alias("bands"))
+    nodes = stage(nodes, "minhash-nodes")
     members = nodes.select("node", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
     candidates = members.join(buckets, "band").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
-    clusters = stage(connected_components(candidates).join(nodes.select("node", "rep"), "node"), "minhash-clusters")
+    clusters = stage(connected_components(candidates).join(nodes.select("node", "source"), "node"), "minhash-clusters")
     large = clusters.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = clusters.join(large, "root", "left").select(F.col("root").alias("cluster"), F.col("node").alias("_node"), F.col("rep").alias("_rep"), F.coalesce("blocks", F.lit(1)).alias("blocks"))
-    norm = docs.select("doc_id", normal(F.col("text")).alias("norm")).select("doc_id", _node(F.col("norm")).alias("node"), "norm")
-    texts = norm.join(placed, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_rep"))).select("cluster", "blocks", "node", "norm")
+    placed = clusters.join(large, "root", "left").select(F.col("root").alias("cluster"), "node", "source", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    texts = docs.select(_row(docs).alias("row"), "text").join(placed, F.col("row") == F.col("source")).select("cluster", "blocks", "node", "text")
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int")
     spread = texts.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = spread.select("cluster", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "norm")
+    groups = spread.select("cluster", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "text")
     groups = groups.repartition("cluster", "b1", "b2").sortWithinPartitions("cluster", "b1", "b2")
     roots = connected_components(verified(groups, k, threshold, bands * rows))
     named = nodes.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     named = stage(named, "minhash-roots")
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    joined = named.join(least, "root").select(F.col("node").alias("_n"), "component_id")
-    out = every.select("doc_id", "n_shingles", "node").join(joined, F.col("node") == F.col("_n"), "left")
+    joined = named.join(least, "root").select(F.col("node").alias("_n"), "root", "component_id")
+    out = every.select("doc_id", "n_shingles", "node", "row").join(joined, F.col("node") == F.col("_n"), "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root", "row")
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """docs with one row of each component: the one with the least doc_id. Rows without words all stay."""
+    """docs with one row of each component: one with its least doc_id. Rows without words all stay."""
     found = near_duplicates(docs, k, threshold)
-    kept = found.where(F.col("kept") & F.col("node").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct()
-    keyed = docs.withColumn("_key", _node(normal(F.col("text"))))
-    blank = keyed.where(F.col("_key").isNull())
-    one = keyed.where(F.col("_key").isNotNull()).join(kept, (F.col("_key") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return one.dropDuplicates(["_key"]).unionByName(blank).select(*docs.columns)
+    kept = found.where(F.col("kept") & F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("_kept")).select("_kept")
+    has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    one = docs.where(has_words).withColumn("_row", _row(docs)).join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"])
+    return one.select(*docs.columns).unionByName(docs.where(~has_words))

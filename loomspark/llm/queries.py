@@ -48,7 +48,7 @@ def op8_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), 3, (85, 100)).drop("node")
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), 3, (85, 100)).drop("root", "row")
 
 
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,7 +98,7 @@ def links(reps: DataFrame, least: float = 0.98, trees: int = TREES, leaf: int =
     common = reps.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dim = common[0]["d"] if common else 0
     taken = [r[0] for r in reps.where(F.size("embedding") == dim).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").collect()]
-    forest = Forest(np.array(taken, dtype=np.float64).reshape(-1, dim), n, trees, leaf, SPILL * np.sqrt(max(0.0, 2 - 2 * least)))
+    forest = Forest(np.array(taken, dtype=np.float64).reshape(len(taken), dim), n, trees, leaf, SPILL * np.sqrt(max(0.0, 2 - 2 * least)))
     shared = spark.sparkContext.broadcast(forest)  # as large as the bounded sample makes it
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
