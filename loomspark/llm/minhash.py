@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
     clusters = stage(connected_components(candidates).join(nodes.select("node", "source"), "node"), "minhash-clusters")
     large = clusters.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("root", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     placed = clusters.join(large, "root", "left").select(F.col("root").alias("cluster"), "node", "source", F.coalesce("blocks", F.lit(1)).alias("blocks"))
-    texts = docs.select(_row(docs).alias("row"), "text").join(placed, F.col("row") == F.col("source")).select("cluster", "blocks", "node", "text")
+    texts = docs.select(_row(docs).alias("row"), "text").join(placed.hint("merge"), F.col("row") == F.col("source")).select("cluster", "blocks", "node", "text")
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int")
     spread = texts.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     groups = spread.select("cluster", F.least("mine", "other").alias("b1"), F.greatest("mine", "other").alias("b2"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "text")
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
     """docs with one row of each component: one with its least doc_id. Rows without words all stay."""
     found = near_duplicates(docs, k, threshold)
-    kept = found.where(F.col("kept") & F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("_kept")).select("_kept")
+    kept = found.where(F.col("kept") & F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("_kept")).select("_kept").hint("merge")
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     one = docs.where(has_words).withColumn("_row", _row(docs)).join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"])
     return one.select(*docs.columns).unionByName(docs.where(~has_words))
