@@ -114,7 +114,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     taken = mix(keyed, weights, share, most, keep=("_mix",))
     times = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5).cast("long")
     repeats = stage(taken.groupBy("_mix").agg(F.sum(times).alias("_times"), F.count("*").alias("_rows")).where("_times > 0"), "mix-repeats")
-    joined = keyed.join(repeats, "_mix")
+    joined = keyed.join(repeats.hint("merge"), "_mix")
     row = F.struct(*docs.columns).alias("_row")
     once = joined.where("_rows = 1").select("_times", row)
     several = joined.where("_rows > 1").groupBy("_mix", "_times").agg(F.first(F.struct(*docs.columns)).alias("_row")).select("_times", "_row")
