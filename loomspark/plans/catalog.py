@@ -17,6 +17,7 @@ from loomspark.operators import conversation as C
 from loomspark.operators import diversity as D
 from loomspark.operators import graph as G
 from loomspark.operators import registry as R
+from loomspark.operators import sampler as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -239,6 +240,20 @@ def node_importance(spark, sf):
     return G.page_rank(G.prune(edges(spark, sf), 3)).withColumn("rank", F.round("rank", 6))
 
 
+# ---- sampling and generation: their own design, so no SQL
+
+
+@query()
+def sampled_chains(spark, sf):
+    return S.sample_chains(spark, G.prune(edges(spark, sf), 5), nodes(spark, sf), 200)
+
+
+@query()
+def generated_conversations(spark, sf):
+    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"), F.lower("s_name").alias("name"), F.when(F.col("s_acctbal") > 5000, F.array(F.lit("id"), F.lit("city"))).otherwise(F.array(F.lit("city"))).alias("parameters"))
+    return S.generate(sampled_chains(spark, sf), e)
+
+
 # ---- chains and diversity
 
 _METRICS = _CHAINS + """,

@@ -9,6 +9,7 @@ from loomspark.functions import text as X
 from loomspark.operators import conversation as C
 from loomspark.operators import diversity as D
 from loomspark.operators import graph as G
+from loomspark.operators import sampler as S2
 from loomspark.plans import catalog
 from loomspark.sources import catalogue as S
 from loomspark.streaming import tracker
@@ -121,6 +122,21 @@ def test_streams(spark, sf, tmp_path):
     assert {r.conv: r.state for r in spark.table("states").collect()} == {1: "answered", 2: "invalid"}
 
 
+def test_sampled_chains_and_conversations(spark, sf):
+    a, b = ({r.chain: tuple(r.path) for r in catalog.sampled_chains(spark, "/root/testdata/sf0.01").collect()} for _ in range(2))
+    assert a == b and len(a) == 200
+    edges = {frozenset((r.src, r.dst)) for r in catalog.edges(spark, "/root/testdata/sf0.01").collect()}
+    for path in a.values():
+        assert 1 <= len(path) <= 5 and len(set(path)) == len(path)
+        assert all(frozenset(p) in edges for p in zip(path, path[1:]))
+    pruned = G.prune(catalog.edges(spark, "/root/testdata/sf0.01"), 5)
+    once = S2.sample_chains(spark, pruned, catalog.nodes(spark, "/root/testdata/sf0.01"), 200, candidates=1)
+    assert len({frozenset(p) for p in a.values()}) >= once.select("pattern").distinct().count()  # domains of about four endpoints allow few sets
+    m = catalog.generated_conversations(spark, "/root/testdata/sf0.01")
+    checked = C.errors(m.select(F.col("chain").alias("conv"), "pos", "role", F.col("content").alias("text")))
+    assert checked.count() == 200 and checked.where("NOT valid").count() == 0
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
