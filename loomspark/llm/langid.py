@@ -24,6 +24,8 @@ from ._common import small_batches
 
 #: Texts that are learned from for each language: PER_SLOT for each of SLOTS hash slots, at most.
 SLOTS, PER_SLOT, EXCERPT = 32, 8, 512
+#: Languages that are learned, at most: those with the most labelled texts. It bounds the sample and the network.
+LANGUAGES = 256
 HIDDEN, STEPS, EPOCHS, BATCH, RATE = 8, 64, 10, 128, 0.02
 #: Windows that run side by side.
 SIDE = 4096
@@ -154,6 +156,9 @@ def held_out(doc_id) -> F.Column:
 def learn(docs: DataFrame) -> Network | None:
     """Train on a bounded sample: of each language the texts with the least hashes in each of SLOTS slots."""
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    counts = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n"))
+    known = [r.lang for r in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
+    usable = usable.where(F.col("lang").isin(known))
     h = F.xxhash64("doc_id", "text")
     first = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - EXCERPT, F.lit(1))).cast("int") + 1
     slim = usable.select("lang", F.pmod(h, F.lit(SLOTS)).alias("slot"), h.alias("h"), F.substring(F.col("text"), first, F.lit(EXCERPT)).alias("excerpt"))
