@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Spellings of parameter types.
 TYPES = {
-    "string": "str string text varchar char", "integer": "int integer long int32 int64", "number": "number float double decimal numeric",
-    "boolean": "bool boolean", "array": "array list", "object": "object dict map json", "file": "file binary", "date": "date", "datetime": "datetime timestamp",
+    "string": "string str text", "integer": "integer int int32 int64 long", "number": "number float double decimal",
+    "boolean": "bool boolean", "array": "array list", "object": "object dict json map", "file": "file binary", "date": "date", "datetime": "datetime date-time",
 }
 METHODS = ("GET", "POST", "PUT", "DELETE", "PATCH", "HEAD", "OPTIONS")
 
@@ -59,8 +59,36 @@ def vowel_share(c: Column) -> Column:
 
 
 def garbage_name(c: Column) -> Column:
-    text = F.trim(c)
-    return (F.length(text) < 4) | ((F.length(text) > 25) & ~text.contains(" ")) | text.contains("/") | ((F.length(text) > 4) & (vowel_share(text) < 0.15))
+    """Too short (but for five verbs), one long run, a path, hardly a vowel, or with a fixed mark."""
+    text = F.lower(F.trim(c))
+    short = (F.length(text) < 4) & ~text.isin("get", "set", "add", "run", "put")
+    run = (F.length(text) > 25) & ~text.rlike("[ _-]")
+    return short | run | text.startswith("/") | text.contains("//") | ((F.length(text) > 4) & (vowel_share(text) < 0.15)) | text.rlike(r"602917ac|version 2|copy|\.\.\.")
+
+
+def clean_description(c: Column) -> Column:
+    """Whether a description can be shown: 5 to 100 characters, no code, no words of API documents; 60 at most after an article."""
+    code = c.rlike(r"[{}\"\\=<>]|//")
+    jargon = F.lower(c).rlike(r"api|endpoint|http|json|parameter|request|response|returns|\.\.\.|base64|png")
+    led = F.trim(c).rlike("^(The|A|An|This) ") & (F.length(c) > 60)
+    return F.coalesce((F.length(c) >= 5) & (F.length(c) <= 100) & ~code & ~jargon & ~led, F.lit(False))
+
+
+def describe_step(name: Column, tool: Column, domain: Column, description: Column) -> Column:
+    """What a step does, in plain words: its description if clean and short, else from the names that can be shown."""
+    said = F.lower(F.rtrim(F.trim(description), F.lit(".")))
+    own, of, field = humanize(name), humanize(tool), F.replace(F.lower(domain), F.lit("_"), F.lit(" "))
+    has_field = F.coalesce(domain, F.lit("")) != ""
+    named = F.exists(F.filter(F.split(of, " "), lambda w: F.length(w) > 3), lambda w: own.contains(w))
+    return (
+        F.when(clean_description(description) & (F.length(said) < 50), said)
+        .when(garbage_name(name) & has_field & garbage_name(tool), F.concat(F.lit("look up "), field, F.lit(" information")))
+        .when(garbage_name(name) & has_field, F.concat(F.lit("use "), of, F.lit(" for "), field, F.lit(" data")))
+        .when(garbage_name(name) & ~garbage_name(tool), F.concat(F.lit("get data from "), of))
+        .when(garbage_name(name), F.lit("look up some information"))
+        .when(garbage_name(tool) | named, own)
+        .otherwise(F.concat(F.lit("use "), of, F.lit(" to "), own))
+    )
 
 
 def path_of(url: Column) -> Column:
@@ -104,12 +132,37 @@ def method(c: Column) -> Column:
 
 
 def infer_type(name: Column) -> Column:
-    return F.when(name.rlike(r"(?i)^(is_|has_|enable|show_|include)"), "boolean").when(name.rlike(r"(?i)(count|limit|page|size|num|price|qty|lat|lon)"), "number").when(name.rlike(r"(?i)(id|key)$"), "string").otherwise("string")
+    """From a name alone, as ingest does: a flag, a number, else text."""
+    flag = name.rlike("(?i)^(is_|has_|enable|disable|flag|active|verbose)")
+    return F.when(flag, "boolean").when(name.rlike("(?i)count|total|limit|offset|page|size|width|height|lat|lon|price|amount|num"), "number").otherwise("string")
 
 
 def extractable(name: Column) -> Column:
-    n = F.lower(name)
-    return F.when(n.rlike("id$"), "id").when(n.rlike("name|title"), "name").when(n.rlike("url|link"), "url").when(n.rlike("date|time"), "date").when(n.rlike("count|total|size"), "count").when(n.rlike("status|state"), "status").otherwise("none")
+    """What a response field offers to later steps, by its name; the first kind that fits."""
+    n = F.lower(F.trim(name))
+    return F.when(n.rlike("^(uuid|guid)$|id$"), "id").when(n.rlike("^(name|title|label)$|_name$"), "name").when(n.rlike("url|link|href"), "url").when(n.rlike("date|time|^created|^updated"), "date").when(n.isin("count", "total", "size", "length"), "count").when(n.isin("status", "state"), "status").otherwise("none")
+
+
+def enum_values(c: Column) -> Column:
+    """The values of a comma-joined text, trimmed; null for none."""
+    found = F.filter(F.transform(F.split(c, ","), lambda v: F.trim(v)), lambda v: v != "")
+    return F.when(F.size(found) > 0, found)
+
+
+def required_flag(c: Column) -> Column:
+    """true, 1 and yes count; `optional` and the rest do not."""
+    return F.coalesce(truthy(c), F.lit(False))
+
+
+def location(c: Column) -> Column:
+    text = F.lower(F.trim(c))
+    return F.when(text.isin("query", "path", "header", "body", "form"), text).when(text == "formdata", "form").otherwise("query")
+
+
+def tool_text(name: Column, description: Column, domain: Column, endpoints: Column) -> Column:
+    """What is embedded of a tool; empty parts are left out."""
+    part = lambda label, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(label), c, F.lit(".")))
+    return collapse(F.concat_ws(" ", part("", name), description, part("Domain: ", domain), part("Endpoints: ", F.array_join(endpoints, ", "))))
 
 
 def truthy(c: Column) -> Column:

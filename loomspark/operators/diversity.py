@@ -90,3 +90,20 @@ def compare(a: DataFrame, b: DataFrame) -> DataFrame:
     both = long(a, "a").join(long(b, "b"), "metric")
     delta = F.col("b") - F.col("a")
     return both.select("metric", "a", "b", delta.alias("delta"), F.when(delta > 1e-9, "up").when(delta < -1e-9, "down").otherwise("same").alias("direction"))
+
+
+def steering(domain_uses: DataFrame, available: DataFrame, most: int = 3) -> DataFrame:
+    """One row with text: the first domains of available(domain) that domain_uses(domain, uses) has at most as often as the median one."""
+    counts = available.distinct().join(domain_uses, "domain", "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+    median = counts.agg(F.percentile("uses", 0.5).alias("median"))
+    few = counts.join(F.broadcast(median), F.col("uses") <= F.col("median")).select("domain").orderBy("domain").limit(most)
+    picked = few.agg(F.array_sort(F.collect_list("domain")).alias("d"))
+    many = F.concat(F.lit("Focus this conversation on tools from these domains: "), F.array_join("d", ", "), F.lit("."))
+    one = F.concat(F.lit("Focus this conversation on the "), F.element_at("d", 1), F.lit(" domain."))
+    return picked.select(F.when(F.size("d") == 0, "").when(F.size("d") == 1, one).otherwise(many).alias("text"))
+
+
+def markdown(compared: DataFrame) -> str:
+    """The report table of compare(): one line for each metric."""
+    rows = [f"| {r['metric']} | {r['a']:.4f} | {r['b']:.4f} | {r['delta']:+.4f} |" for r in compared.orderBy("metric").collect()]  # as many rows as there are metrics
+    return "\n".join(["| Metric | Run A | Run B | Delta |", "| --- | --- | --- | --- |", *rows])

@@ -119,3 +119,81 @@ def stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     n = nodes.agg(F.count("*").alias("n_nodes"))
     m = edges.agg(F.count("*").alias("n_edges"), F.avg("weight").alias("mean_weight"))
     return n.join(m, F.lit(True)).withColumn("density", F.col("n_edges") / F.greatest(F.col("n_nodes") * (F.col("n_nodes") - 1), F.lit(1)))
+
+
+def prune_by_degree(edges: DataFrame, most: int = 50, protected: str = "same_tool") -> DataFrame:
+    """edges(src, dst, edge_type, weight): nodes of more than `most` edges keep the protected ones and the best of the rest.
+
+    What either end gives up goes. All is decided on the unpruned graph; ties go to the smaller ids.
+    """
+    ends = edges.withColumn("_end", F.explode(F.array("src", "dst")))
+    node, safe = Window.partitionBy("_end"), F.col("edge_type") == protected
+    order = Window.partitionBy("_end", safe).orderBy(F.desc("weight"), "src", "dst", "edge_type")
+    ranked = ends.withColumns({"_degree": F.count("*").over(node), "_safe": F.count_if(safe).over(node), "_r": F.row_number().over(order)})
+    lost = ranked.where(~safe & (F.col("_degree") > most) & (F.col("_r") > F.greatest(most - F.col("_safe"), F.lit(0))))
+    return edges.join(lost.select("src", "dst", "edge_type").distinct(), ["src", "dst", "edge_type"], "left_anti").select("src", "dst", "edge_type", "weight")
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut, where a shared checkpoint folder is set; a local run without one keeps it in memory."""
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return df.checkpoint()
+    return df.persist()
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """node, component (its least node) over nodes(node) and undirected edges(src, dst).
+
+    Each round takes the least label around and then the label's own label, so paths halve as they go.
+    """
+    both = symmetric(edges.select("src", "dst")).distinct()
+    label = nodes.select("node", F.col("node").alias("component"))
+    while True:
+        around = both.join(label, both.dst == label.node).groupBy("src").agg(F.min("component").alias("least"))
+        lower = label.join(around, label.node == around.src, "left").select("node", F.least("component", "least").alias("to"), F.col("component").alias("was"))
+        jump = label.select(F.col("node").alias("at"), F.col("component").alias("beyond"))
+        stepped = _cut(lower.join(jump, F.col("to") == F.col("at"), "left").select("node", F.least("to", "beyond").alias("component"), "was"))
+        label = stepped.select("node", "component")
+        if stepped.where("component <> was").isEmpty():
+            return label
+
+
+def parallel_runs(steps: DataFrame, edges: DataFrame) -> DataFrame:
+    """steps(chain, step, node, domain, params, outputs) with run, the first step of the greedy parallel run.
+
+    Two steps go together if the later needs nothing of the earlier (params and outputs, which may be null)
+    and they share a domain or an edge. A step joins the run if it goes with all of it; so a run breaks where the
+    last step that it doesn't go with is in the run. Only pairs of one chain are joined.
+    """
+    a = steps.select("chain", F.col("step").alias("i"), F.col("node").alias("na"), F.col("domain").alias("da"), "outputs")
+    b = steps.select("chain", F.col("step").alias("j"), F.col("node").alias("nb"), F.col("domain").alias("db"), "params")
+    e = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct().withColumn("linked", F.lit(True))
+    pairs = a.join(b, "chain").where("i < j").withColumns({"u": F.least("na", "nb"), "v": F.greatest("na", "nb")}).join(e, ["u", "v"], "left")
+    needs = F.coalesce(F.arrays_overlap("outputs", "params"), F.lit(False))
+    together = ~needs & (F.coalesce(F.col("da") == F.col("db"), F.lit(False)) | F.coalesce("linked", F.lit(False)))
+    apart = pairs.where(~together).groupBy("chain", F.col("j").alias("step")).agg(F.max("i").alias("apart"))
+    each = steps.select("chain", "step").join(apart, ["chain", "step"], "left").groupBy("chain").agg(F.array_sort(F.collect_list(F.struct("step", F.coalesce("apart", F.lit(-1)).cast("int").alias("apart")))).alias("s"))
+    begin = lambda acc, x: F.when(F.size(acc) == 0, x["step"]).when(x["apart"] >= F.element_at(acc, -1)["run"], x["step"]).otherwise(F.element_at(acc, -1)["run"])
+    fold = F.aggregate("s", F.array().cast("array<struct<step:int,run:int>>"), lambda acc, x: F.array_append(acc, F.struct(x["step"].cast("int").alias("step"), begin(acc, x).cast("int").alias("run"))))
+    return each.select("chain", F.explode(fold).alias("x")).select("chain", "x.step", "x.run")
+
+
+def chain_patterns(steps: DataFrame, edges: DataFrame) -> DataFrame:
+    """chain, pattern of steps(chain, step, node, tool, endpoint, method, domain, params, outputs): the first that fits.
+
+    parallel: a run of two or more; branch_and_merge: a step but the last has a neighbour that is neither itself
+    nor the next; iterative: a tool comes again with the same endpoint or method; else sequential.
+    """
+    runs = parallel_runs(steps, edges).groupBy("chain", "run").count().groupBy("chain").agg((F.max("count") >= 2).alias("parallel"))
+    degree = symmetric(edges.select("src", "dst")).where("src <> dst").distinct().groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree"))
+    following = steps.withColumn("next", F.lead("node").over(Window.partitionBy("chain").orderBy("step"))).where("next IS NOT NULL")
+    pair = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct().withColumn("linked", F.lit(1))
+    option = following.join(degree, "node").withColumns({"u": F.least("node", "next"), "v": F.greatest("node", "next")}).join(pair, ["u", "v"], "left")
+    own = (F.col("next") != F.col("node")) & (F.coalesce("linked", F.lit(0)) == 1)
+    branches = option.groupBy("chain").agg(F.max(F.col("degree") > own.cast("int")).alias("branch"))
+    again = lambda c: F.count("*") > F.countDistinct(F.struct("tool", c))
+    kinds = steps.groupBy("chain").agg((again("endpoint") | again("method")).alias("iterative"))
+    all_ = kinds.join(runs, "chain", "left").join(branches, "chain", "left")
+    held = lambda c: F.coalesce(F.col(c), F.lit(False))
+    pattern = F.when(held("parallel"), "parallel").when(held("branch"), "branch_and_merge").when(held("iterative"), "iterative").otherwise("sequential")
+    return all_.select("chain", pattern.alias("pattern"))

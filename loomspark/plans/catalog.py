@@ -437,6 +437,6 @@ def meaningful_description(spark, sf):
     return table(spark, sf, "part").select("p_partkey", X.meaningful(F.col("p_name"), F.col("p_brand")).alias("meaningful"))
 
 
-@query("SELECT p_partkey, length(t) < 4 OR (length(t) > 25 AND NOT contains(t, ' ')) OR contains(t, '/') OR (length(t) > 4 AND CAST(length(t) - length(regexp_replace(lower(t), '[aeiou]', '', 'g')) AS DOUBLE) / greatest(length(t), 1) < 0.15) AS garbage FROM (SELECT p_partkey, trim(p_name) AS t FROM part)")
+@query(r"SELECT p_partkey, (length(t) < 4 AND t NOT IN ('get', 'set', 'add', 'run', 'put')) OR (length(t) > 25 AND NOT regexp_matches(t, '[ _-]')) OR t LIKE '/%' OR contains(t, '//') OR (length(t) > 4 AND length(regexp_replace(t, '[^aeiou]', '', 'g')) < length(t) * 0.15) OR regexp_matches(t, '602917ac|version 2|copy|\.\.\.') AS garbage FROM (SELECT p_partkey, lower(trim(p_name)) AS t FROM part)")
 def garbage_name(spark, sf):
     return table(spark, sf, "part").select("p_partkey", X.garbage_name(F.col("p_name")).alias("garbage"))

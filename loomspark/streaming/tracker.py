@@ -11,13 +11,21 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Fixed legal transitions: state -> event -> state.
 MOVES = {
-    "start": {"user": "asked"},
-    "asked": {"assistant": "answered", "tool_call": "waiting"},
-    "waiting": {"tool": "asked"},
-    "answered": {"user": "asked", "tool_call": "waiting"},
+    "init": {"start": "user_turn"},
+    "user_turn": {"user_message": "assistant_turn", "max_turns_reached": "complete", "chain_complete": "complete", "error": "failed"},
+    "assistant_turn": {
+        "assistant_tool_call": "tool_execution", "assistant_disambiguate": "disambiguation", "assistant_final": "complete", "assistant_text": "user_turn",
+        "max_turns_reached": "complete", "chain_complete": "complete", "error": "failed",
+    },
+    "tool_execution": {"tool_result": "user_turn", "chain_complete": "complete", "error": "failed"},
+    "disambiguation": {"user_clarification": "assistant_turn", "max_turns_reached": "complete", "error": "failed"},
 }
 
 
+def valid_events(state: str) -> list[str]:
+    return list(MOVES.get(state, {}))
+
+
 def usage(stream: DataFrame) -> DataFrame:
     """stream(tool): running counts; partial sums per task keep the state one row for each tool."""
     return stream.groupBy("tool").agg(F.count("*").alias("uses"))
@@ -32,7 +40,7 @@ def follow(stream: DataFrame) -> DataFrame:
     """stream(conv, pos, event): each conversation's state after its events; `invalid` once a move is illegal."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now, n = state.get if state.exists else ("start", 0)
+        now, n = state.get if state.exists else ("init", 0)
         for event in pd.concat(list(batches)).sort_values("pos")["event"]:
             now, n = MOVES.get(now, {}).get(event, "invalid"), n + 1
         state.update((now, n))

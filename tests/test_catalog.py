@@ -10,7 +10,7 @@ from loomspark.operators import conversation as C
 from loomspark.operators import diversity as D
 from loomspark.operators import graph as G
 from loomspark.operators import sampler as S2
-from loomspark.plans import catalog
+from loomspark.plans import catalog, detail  # noqa: F401 (adds its queries)
 from loomspark.sources import catalogue as S
 from loomspark.streaming import tracker
 from tests.oracle import compare
@@ -113,13 +113,13 @@ def test_streams(spark, sf, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("uses").agg(F.sum("uses")).head()[0] == events.count()
-    messages = spark.createDataFrame([(1, 0, "user"), (1, 1, "tool_call"), (1, 2, "tool"), (1, 3, "assistant"), (2, 0, "assistant")], "conv int, pos int, event string")
+    messages = spark.createDataFrame([(1, 0, "start"), (1, 1, "user_message"), (1, 2, "assistant_tool_call"), (1, 3, "tool_result"), (2, 0, "tool_result")], "conv int, pos int, event string")
     messages.coalesce(1).write.parquet(str(tmp_path / "m"))
     stream = spark.readStream.schema(messages.schema).parquet(str(tmp_path / "m"))
     q = tracker.follow(stream).writeStream.outputMode("update").format("memory").queryName("states").start()
     q.processAllAvailable()
     q.stop()
-    assert {r.conv: r.state for r in spark.table("states").collect()} == {1: "answered", 2: "invalid"}
+    assert {r.conv: r.state for r in spark.table("states").collect()} == {1: "user_turn", 2: "invalid"}
 
 
 def test_sampled_chains_and_conversations(spark, sf):
