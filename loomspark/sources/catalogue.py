@@ -6,6 +6,9 @@ failed and yields nothing. Aliases are resolved by the first value that isn't nu
 
 from __future__ import annotations
 
+import copy
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,3 +129,90 @@ def load(spark: SparkSession, path: str, name: str) -> DataFrame:
     if want is None or (want.rows, want.checksum) != (n, check):
         raise ValueError(f"{name} doesn't match its manifest")
     return df
+
+
+def read_header(spark: SparkSession, path: str) -> dict | None:
+    """The header of a JSON-lines file: its first line, if that is an object with __metadata__."""
+    first = spark.read.text(path).head()
+    try:
+        found = json.loads(first[0]) if first else None
+    except ValueError:
+        return None
+    return found if isinstance(found, dict) and found.get("__metadata__") else None
+
+
+def record_count(spark: SparkSession, path: str) -> int:
+    """Records of a JSON-lines file, without headers, blank and malformed lines."""
+    v = F.try_parse_json("value")
+    head = F.coalesce(F.try_variant_get(v, "$.__metadata__", "boolean"), F.lit(False))
+    return spark.read.text(path).where(v.isNotNull() & ~head).count()
+
+
+def info(spark: SparkSession, path: str) -> DataFrame:
+    """name, rows, checksum of the saved tables, from the manifest alone."""
+    return spark.read.schema("name string, rows long, checksum long").json(f"{path}/_manifest")
+
+
+def record_errors(lines: DataFrame) -> DataFrame:
+    """lines(value) of JSON: every violation of the record format, in a fixed order; valid if none."""
+    v = F.try_parse_json("value")
+    has = lambda name: F.try_variant_get(v, f"$.{name}", "variant").isNotNull()
+    messages = F.coalesce(F.try_variant_get(v, "$.messages", "array<variant>"), F.array().cast("array<variant>"))
+    role = lambda m: F.coalesce(F.try_variant_get(m, "$.role", "string"), F.lit(""))
+    calls = lambda m: F.try_variant_get(m, "$.tool_calls", "variant")
+    found = F.array(
+        F.when(v.isNull(), "not JSON"),
+        F.when(v.isNotNull() & ~has("conversation_id"), "no conversation_id"),
+        F.when(v.isNotNull() & ~_is(v, "$.messages", "ARRAY"), "messages is not a list"),
+        F.when(_is(v, "$.messages", "ARRAY") & (F.size(messages) == 0), "no messages"),
+        F.when(F.exists(messages, lambda m: ~role(m).isin("user", "assistant", "tool", "system")), "unknown role"),
+        F.when(F.exists(messages, lambda m: calls(m).isNotNull() & ~F.schema_of_variant(calls(m)).startswith("ARRAY")), "tool_calls is not a list"),
+        F.when(has("judge_scores") & ~_is(v, "$.judge_scores", "OBJECT") & ~_is(v, "$.judge_scores", "VOID"), "judge_scores is not an object"),
+        F.when(v.isNotNull() & ~_is(v, "$.metadata", "OBJECT"), "metadata is not an object"),
+    )
+    return lines.select("value", F.array_compact(found).alias("errors")).withColumn("valid", F.size("errors") == 0)
+
+
+# ---- configuration and cached replies
+
+
+def load_config(path: str | None, defaults: dict, overrides: dict | None = None) -> dict:
+    """Settings of a JSON (or, with PyYAML, YAML) file over the defaults; overrides name their place as a__b.
+
+    A path of None gives the defaults. Overrides of unknown places and of None are left out.
+    """
+    given: dict = {}
+    if path:
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+        if path.endswith((".yaml", ".yml")):
+            import yaml
+
+            given = yaml.safe_load(text) or {}
+        else:
+            given = json.loads(text)
+
+    def over(base: dict, more: dict) -> dict:
+        return base | {k: over(base[k], v) if isinstance(v, dict) and isinstance(base.get(k), dict) else v for k, v in more.items()}
+
+    out = over(copy.deepcopy(defaults), given)
+    for name, value in (overrides or {}).items():
+        *parents, last = name.split("__")
+        at = out
+        for part in parents:
+            at = at.get(part, {}) if isinstance(at, dict) else {}
+        if value is not None and isinstance(at, dict) and last in at:
+            at[last] = value
+    return out
+
+
+def prompt_key(prompt: Column) -> Column:
+    """The 16 hex digits that a prompt (a struct or map, by sorted keys) is cached under."""
+    return F.substring(F.sha2(F.to_json(prompt).cast("binary"), 256), 1, 16)
+
+
+def cached(prompts: DataFrame, cache: DataFrame, now: Column, ttl_seconds: int | None = None) -> DataFrame:
+    """prompts(key, ...) with the response of cache(key, response, cached_at), the latest that hasn't expired, or null."""
+    fresh = cache if ttl_seconds is None else cache.where(F.col("cached_at").cast("double") + ttl_seconds >= now.cast("double"))
+    latest = fresh.groupBy("key").agg(F.max_by("response", "cached_at").alias("response"))
+    return prompts.join(latest, "key", "left")
