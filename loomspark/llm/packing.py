@@ -232,7 +232,6 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
         n = min(left[x] // pattern.count(x) for x in set(pattern))
         spent = waste + n * (capacity - sum(pattern))
         if spent > (size(best) - 1) * capacity - total:
-            # repeated only as often as the waste still allows
             continue
         change(pattern, -n)
         path.append((pattern, n, choices))
