@@ -39,6 +39,17 @@ NAME_RULES = [
 ]
 #: What a place says of a type.
 PLACES = {"body": ("object", 0.4), "path": ("string", 0.5), "header": ("string", 0.6)}
+#: Keywords of descriptions as (confidence, type, pattern), in order.
+KEYWORDS = [
+    (0.7, "integer", r"\bnumber\b|\binteger\b|\bint\b"),
+    (0.75, "boolean", r"\btrue\b.*\bfalse\b|\bboolean\b|\bbool\b"),
+    (0.7, "date", r"\bdate\b|\biso\s*8601\b"),
+    (0.7, "datetime", r"\btimestamp\b|\bdatetime\b"),
+    (0.7, "number", r"\bfloat\b|\bdecimal\b|\bdouble\b"),
+    (0.7, "array", r"\barray\b|\blist\b|\bcomma[- ]?separated\b"),
+    (0.65, "object", r"\bjson\b|\bobject\b|\bdict\b"),
+    (0.65, "string", r"\burl\b|\buri\b|\blink\b"),
+]
 EVIDENCE = "struct<type:string,confidence:double>"
 
 
@@ -67,6 +78,19 @@ def _numeric(c: Column) -> Column:
     return F.trim(c).cast("string").try_cast("double").isNotNull()
 
 
+def from_description(description: Column) -> Column:
+    """The first keyword that a description has; null for none."""
+    return F.coalesce(*[F.when(description.rlike(f"(?i){p}"), _evidence(kind, c)) for c, kind, p in KEYWORDS])
+
+
+def from_examples(values: Column) -> Column:
+    """The type that most examples (as text) look like, the one first seen if equal; null for no examples."""
+    kinds = F.transform(values, lambda v: F.when(_whole(v), "integer").when(_numeric(v), "number").otherwise("string"))
+    counted = F.transform(F.array_distinct(kinds), lambda k: F.struct(F.size(F.filter(kinds, lambda x: x == k)).alias("n"), k.alias("kind")))
+    most = F.aggregate(counted, F.struct(F.lit(0).alias("n"), F.lit("string").alias("kind")), lambda a, x: F.when(x["n"] > a["n"], x).otherwise(a))
+    return F.when(F.size(values) > 0, _evidence(most["kind"], 0.85))
+
+
 def from_default(default: Column) -> Column:
     """Of a default as text: numbers by their look, true and false, else text; null without a default."""
     kind = F.when(_whole(default), "integer").when(_numeric(default), "number").when(F.lower(default).isin("true", "false"), "boolean").otherwise("string")

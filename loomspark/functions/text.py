@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Spellings of parameter types.
 TYPES = {
@@ -21,6 +25,25 @@ def clean_name(c: Column, most: int = 200) -> Column:
     return F.substring(collapse(F.regexp_replace(F.trim(c), r"(?U)[^\w\s\-]", "")), 1, most)
 
 
+def repair(c: Column) -> Column:
+    """UTF-8 that was read as Latin-1, put right; a text that isn't such stays as it is."""
+    narrow = c.rlike("^[\\x00-\\xff]*$")
+    return F.coalesce(F.when(narrow, F.try_validate_utf8(F.encode(F.when(narrow, c), "ISO-8859-1").cast("string"))), c)
+
+
+@F.pandas_udf(StringType())
+def unescape(texts: pd.Series) -> pd.Series:
+    """Texts with their character references decoded: Spark has no expression for the full table of names."""
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def description(c: Column, name: Column, most: int = 2000) -> Column:
+    """Repaired, decoded and collapsed; empty if null or if it only repeats the name."""
+    text = collapse(unescape(repair(F.coalesce(c, F.lit("")))))
+    repeats = without_article(text) == F.lower(F.coalesce(name, F.lit("")))
+    return F.when(repeats, "").otherwise(F.substring(text, 1, most))
+
+
 def slug(c: Column) -> Column:
     return F.btrim(F.lower(F.regexp_replace(c, r"(?U)\W+", "_")), F.lit("_"))
 

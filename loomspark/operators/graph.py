@@ -97,20 +97,26 @@ def k_hop(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     return seen.where("hops > 0")
 
 
-def page_rank(edges: DataFrame, rounds: int = 20, damping: float = 0.85) -> DataFrame:
-    """node, rank over weighted directed edges; dangling rank is spread over all nodes."""
+def page_rank(edges: DataFrame, rounds: int = 100, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """node, rank over weighted directed edges; dangling rank is spread over all nodes.
+
+    Ends when the ranks of n nodes change by less than n * tolerance in all, or after `rounds`. A round is one job
+    on the ranks before it, and one row of sums comes to the driver.
+    """
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
-    share = edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p"))
+    share = _cut(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("total")).alias("p")))
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    nodes = nodes.join(out.select(F.col("src").alias("node"), F.lit(1).alias("has_out")), "node", "left")
+    nodes = _cut(nodes.join(out.select(F.col("src").alias("node"), F.lit(1).alias("has_out")), "node", "left"))
     n = nodes.count()
     rank = nodes.select("node", "has_out", F.lit(1.0 / max(n, 1)).alias("rank"))
-    for i in range(rounds):
-        lost = rank.where("has_out IS NULL").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).head()[0]
+    lost = nodes.where("has_out IS NULL").count() / max(n, 1)
+    for _ in range(rounds if n else 0):
         got = share.join(rank.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") * F.col("p")).alias("got"))
-        rank = nodes.join(got, "node", "left").select("node", "has_out", (F.lit((1 - damping) / n + damping * lost / n) + damping * F.coalesce("got", F.lit(0.0))).alias("rank"))
-        if edges.sparkSession.conf.get("spark.checkpoint.dir", None) and i % 5 == 4:
-            rank = rank.checkpoint()
+        new = F.lit((1 - damping) / n + damping * lost / n) + damping * F.coalesce("got", F.lit(0.0))
+        rank = _cut(rank.join(got, "node", "left").select("node", "has_out", new.alias("rank"), F.abs(new - F.col("rank")).alias("change")))
+        change, lost = rank.agg(F.sum("change"), F.coalesce(F.sum(F.when(F.col("has_out").isNull(), F.col("rank"))), F.lit(0.0))).head()
+        if change < n * tolerance:
+            break
     return rank.select("node", "rank")
 
 
@@ -197,3 +203,10 @@ def chain_patterns(steps: DataFrame, edges: DataFrame) -> DataFrame:
     held = lambda c: F.coalesce(F.col(c), F.lit(False))
     pattern = F.when(held("parallel"), "parallel").when(held("branch"), "branch_and_merge").when(held("iterative"), "iterative").otherwise("sequential")
     return all_.select("chain", pattern.alias("pattern"))
+
+
+def repeat_step(paths: DataFrame, seed: int = 42) -> DataFrame:
+    """chain, path of paths(chain, path array) made iterative: one step, by the hash of the chain, comes twice in a row."""
+    at = F.pmod(F.xxhash64("chain", F.lit(seed)), F.greatest(F.size("path"), F.lit(1))).cast("int") + 1
+    made = F.concat(F.slice("path", F.lit(1), at), F.slice("path", at, F.greatest(F.size("path") - at + 1, F.lit(0))))
+    return paths.select("chain", F.when(F.size("path") > 0, made).otherwise(F.col("path")).alias("path"))

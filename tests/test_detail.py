@@ -100,3 +100,33 @@ def test_steering_and_report(spark):
 def test_moves():
     assert tracker.valid_events("disambiguation") == ["user_clarification", "max_turns_reached", "error"]
     assert sum(len(v) for v in tracker.MOVES.values()) == 18
+
+
+def test_more_evidence(spark):
+    examples = lambda *v: value(spark, I.from_examples(F.array(*[F.lit(x) for x in v]).cast("array<string>")))
+    assert examples("a", "1", "2") == ("integer", 0.85) and examples("a", "1") == ("string", 0.85) and examples() is None
+    said = lambda t: value(spark, I.from_description(F.lit(t)))
+    assert said("True or false") == ("boolean", 0.75) and said("A comma separated LIST") == ("array", 0.7) and said("interest") is None
+
+
+def test_descriptions(spark):
+    said = lambda t, n="": value(spark, X.description(F.lit(t).cast("string"), F.lit(n)))
+    assert said("caf\u00c3\u00a9  &amp; bar") == "caf\u00e9 & bar" and said("caf\u00e9 \u4e2d") == "caf\u00e9 \u4e2d" and said("caf\u00e9") == "caf\u00e9"
+    assert said("The Weather", "weather") == "" and said(None) == ""
+
+
+def test_page_rank_known(spark):
+    e = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 3.0), ("b", "c", 1.0)], "src string, dst string, weight double")
+    want = {"a": 1 / 3, "b": 1 / 3, "c": 1 / 3}
+    for _ in range(200):  # brute force
+        base = 0.05 + 0.85 * want["c"] / 3
+        want = {"a": base, "b": base + 0.85 * want["a"] / 4, "c": base + 0.85 * (want["a"] * 3 / 4 + want["b"])}
+    got = {r.node: r["rank"] for r in G.page_rank(e).collect()}
+    assert got == {k: pytest.approx(v, abs=1e-5) for k, v in want.items()} and G.page_rank(e.limit(0)).count() == 0
+
+
+def test_repeat_step(spark):
+    p = spark.createDataFrame([(i, [1, 2, 3]) for i in range(9)] + [(99, [])], "chain long, path array<int>")
+    for r in G.repeat_step(p).collect():
+        twice = [a for a, b in zip(r.path, r.path[1:]) if a == b]
+        assert (r.path == []) if r.chain == 99 else (len(r.path) == 4 and len(twice) == 1 and [x for i, x in enumerate(r.path) if i == 0 or x != r.path[i - 1]] == [1, 2, 3])
