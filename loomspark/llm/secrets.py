@@ -34,12 +34,22 @@ EXAMPLE_OWNERS, LIVE_CHARACTERS = 3, 8
 def _spans(text: Column, order: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """The matches of one kind whose secret has `least` characters: (start, kind order, kind, end, value)."""
     kind_type = "array<struct<start:bigint,ord:int,kind:string,end:bigint,value:string>>"
-    parts, whole = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + F.char_length(x))
-    start = lambda i: total(F.slice(parts, F.lit(1), i + 1)) + total(F.slice(whole, F.lit(1), i))
-    each = F.transform(F.arrays_zip(whole.alias("w"), value.alias("v")), lambda x, i: F.struct(start(i).alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), (start(i) + F.char_length(x["w"])).alias("end"), x["v"].alias("value")))
-    return F.when(text.rlike(QUICK.get(kind, pattern)), F.filter(each, lambda x: F.char_length(x["value"]) >= least)).otherwise(F.array()).cast(kind_type)
+    between = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
+    # the text before each match, the match and its secret; one walk adds up the offsets, so a text is searched once
+    each = F.filter(F.arrays_zip(between.alias("b"), whole.alias("w"), value.alias("v")), lambda x: x["w"].isNotNull())
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kind_type).alias("found"))
+
+    def step(state: Column, x: Column) -> Column:
+        start = state["at"] + x["b"]
+        end = start + F.char_length(x["w"])
+        span = F.struct(start.alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"), end.alias("end"), x["v"].alias("value"))
+        long_enough = F.char_length(x["v"]) >= least
+        return F.struct(end.alias("at"), F.when(long_enough, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"))
+
+    found = F.aggregate(each, none, step, lambda s: s["found"])
+    return F.when(text.rlike(QUICK.get(kind, pattern)), found).otherwise(F.array()).cast(kind_type)
 
 
 def candidates(docs: DataFrame, repo: str = "doc_id", owner: str = "source") -> DataFrame:

@@ -125,6 +125,7 @@ def test_secrets(spark):
         (3, f"see {live} here \U0001f600 {hexes}", "en", "a"),
         (4, None, None, None), (5, "", "en", None), (1, f'é Token = "{hexes}" and PASSWORD: abcdefghijkl. AKIA{"A1" * 8} end', "en", "a"),
         (None, f"x {hexes}", "en", None), (6, ("password=" + hexes + " ") * 50, "en", "c"), (7, "apikey='AKIA" + "B" * 14 + "'", "en", "d"),
+        (8, "\U0001f600 é " + " ".join(f"{i:020x} token={i:015d}" for i in range(1, 300)), "en", "e"),
         *[(100 + i, "example Qw3" + "aB3dE5fG7hJ9kL1mN3pQ5rS7" + " copied", "en", f"o{i}") for i in range(4)],
     ]
     got = secrets.scan(frame(spark, rows)).collect()
