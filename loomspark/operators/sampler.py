@@ -104,12 +104,17 @@ def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count
 
 
 OPENERS = ("I need help with {}.", "Could you {} for me?", "Please {}.", "I want to {}.")
+QUESTIONS = ("Could you tell me {}?", "Before I start, what is {}?", "Which values should I use for {}?")
+REPLIES = ("Please use {}.", "It should be {}.", "Take {}.")
 CLOSERS = ("Done: {}.", "Here is what I found: {}.", "All steps are complete: {}.", "Finished. {}.")
 
 
-def conversation(chain: int, steps: list[dict], seed: int) -> list[dict]:
+def conversation(chain: int, steps: list[dict], seed: int, clarify: float = 0.3) -> list[dict]:
     """Messages of one chain: request, a call and its result for each step, follow-ups, a summary.
 
+    With probability `clarify` the assistant asks once, before the first call, for what that call needs, and
+    the call takes the user's values.
+
     Arguments take a value that an earlier result holds under the same name, else a fresh one; results echo
     their arguments and add an id, so later steps are grounded.
     """
@@ -121,6 +126,11 @@ def conversation(chain: int, steps: list[dict], seed: int) -> list[dict]:
         out.append({"chain": chain, "pos": len(out), "role": role, "content": content, "endpoint": None, "arguments": None} | more)
 
     say("user", rng.choice(OPENERS).format(" and ".join(s["name"] for s in steps[:3]) or "this"))
+    if steps and rng.random() < clarify:
+        asked = steps[0]["parameters"]
+        say("assistant", rng.choice(QUESTIONS).format("the " + " and ".join(p.replace("_", " ") for p in asked) if asked else "your preference"))
+        known |= {p: f"{p}-{rng.randrange(1000, 9999)}" for p in asked}
+        say("user", rng.choice(REPLIES).format(" and ".join(known[p] for p in asked) or "whatever fits"))
     for i, s in enumerate(steps):
         needed = {p: known.get(p) or f"{p}-{rng.randrange(1000, 9999)}" for p in s["parameters"]}
         say("assistant", endpoint=s["endpoint"], arguments=needed)
@@ -133,7 +143,7 @@ def conversation(chain: int, steps: list[dict], seed: int) -> list[dict]:
     return out
 
 
-def generate(chains: DataFrame, endpoints: DataFrame, seed: int = 42) -> DataFrame:
+def generate(chains: DataFrame, endpoints: DataFrame, seed: int = 42, clarify: float = 0.3) -> DataFrame:
     """Messages (chain, pos, role, content, endpoint, arguments) for chains(chain, path).
 
     endpoints(node, name, parameters array<string>) are joined in Spark; only the dialogue itself is Python.
@@ -143,7 +153,7 @@ def generate(chains: DataFrame, endpoints: DataFrame, seed: int = 42) -> DataFra
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [m for chain, s in zip(batch["chain"], batch["steps"], strict=True) for m in conversation(int(chain), [{"endpoint": str(x["node"]), "name": x["name"], "parameters": list(x["parameters"])} for x in s], seed)]
+            rows = [m for chain, s in zip(batch["chain"], batch["steps"], strict=True) for m in conversation(int(chain), [{"endpoint": str(x["node"]), "name": x["name"], "parameters": list(x["parameters"])} for x in s], seed, clarify)]
             yield pd.DataFrame(rows, columns=["chain", "pos", "role", "content", "endpoint", "arguments"])
 
     return each.mapInPandas(run, "chain long, pos long, role string, content string, endpoint string, arguments map<string,string>")

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomspark.functions import inference as I
+from loomspark.functions import pools as V
 from loomspark.functions import text as X
 from loomspark.operators import diversity as D
 from loomspark.operators import graph as G
+from loomspark.operators import patterns as M
 from loomspark.operators import scoring as P
 from loomspark.operators import toolcalls as T
 from loomspark.plans.catalog import _EDGES, _STEPS, edges, endpoints, messages, nodes, query, steps, table
@@ -237,3 +239,41 @@ def steering_text(spark, sf):
     e = endpoints(spark, sf).select(F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("domain"))
     uses = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")).join(e, "l_suppkey").groupBy("domain").agg(F.sum("n").alias("uses"))
     return D.steering(uses, table(spark, sf, "region").select(F.col("r_name").alias("domain")))
+
+
+# ---- chains in a pattern, values from pools
+
+
+def _written(made):
+    return made.select("chain", F.array_join(F.transform("groups", lambda g: F.array_join(F.transform(g, lambda x: x.cast("string")), "&")), ">").alias("path"))
+
+
+@query(f"""WITH RECURSIVE {_RUNS}, g AS (SELECT runs.chain, runs.run, string_agg(CAST(st.tool AS VARCHAR), '&' ORDER BY st.step) AS g FROM runs JOIN st ON st.chain = runs.chain AND st.step = runs.step GROUP BY ALL)
+SELECT chain, string_agg(g, '>' ORDER BY run) AS path FROM g GROUP BY chain""")
+def enforce_parallel(spark, sf):
+    return _written(M.as_pattern(_chain_steps(spark, sf), edges(spark, sf), "parallel"))
+
+
+@query(f"""WITH {_EDGES.strip()}, {_STEPS},
+f AS (SELECT chain, step, tool, lead(tool) OVER (PARTITION BY chain ORDER BY step) AS nxt FROM st),
+nb AS (SELECT a.node, b.node AS other FROM n a JOIN n b ON a.domain = b.domain AND a.node <> b.node),
+o AS (SELECT chain, step, tool, md5(CAST(chain AS VARCHAR) || ':' || CAST(step AS VARCHAR) || ':42') AS lot, min(other) FILTER (WHERE other <> nxt) AS alt, min(other) AS near FROM f LEFT JOIN nb ON nb.node = f.tool GROUP BY ALL),
+c AS (SELECT chain, min(step) FILTER (WHERE alt IS NOT NULL) AS s, arg_min(alt, step) FILTER (WHERE alt IS NOT NULL) AS alt, arg_min(step, lot) FILTER (WHERE near IS NOT NULL) AS fs, arg_min(near, lot) FILTER (WHERE near IS NOT NULL) AS near FROM o GROUP BY chain)
+SELECT o.chain, string_agg(CAST(o.tool AS VARCHAR) || CASE WHEN o.step = c.s + 1 THEN '&' || CAST(c.alt AS VARCHAR) WHEN c.s IS NULL AND o.step = c.fs THEN '&' || CAST(c.near AS VARCHAR) ELSE '' END, '>' ORDER BY o.step) AS path
+FROM o JOIN c ON c.chain = o.chain GROUP BY o.chain""")
+def enforce_branch(spark, sf):
+    return _written(M.as_pattern(steps(spark, sf).withColumnRenamed("tool", "node"), edges(spark, sf), "branch_and_merge"))
+
+
+_POOLS = {"city": ["Lyon", "Kyoto", "Quito"], "name": ["Ada", "Ben", "Cleo", "Dan", "Eve"], "status": ["open", "closed"]}
+_KINDS = ["city", "Hotel_Name", "order_status", "misc"]
+
+
+@query(f"""WITH p AS (SELECT p_partkey, {_KINDS}[p_partkey % 4 + 1] AS kind, p_size FROM part),
+h AS (SELECT *, CAST('0x' || substr(md5(CAST(p_size AS VARCHAR) || ':' || CAST(p_partkey AS VARCHAR)), 1, 8) AS BIGINT) AS h, CAST('0x' || substr(md5(kind || ':' || CAST(p_size AS VARCHAR)), 1, 8) AS BIGINT) AS i FROM p)
+SELECT p_partkey, CASE kind WHEN 'city' THEN {_POOLS['city']}[h % 3 + 1] WHEN 'Hotel_Name' THEN {_POOLS['name']}[h % 5 + 1] WHEN 'order_status' THEN {_POOLS['status']}[h % 2 + 1] ELSE 'misc_001' END AS value,
+ upper(substr(kind, 1, 3)) || '-' || CAST(i % 8999 + 1000 AS VARCHAR) AS id FROM h""")
+def pool_values(spark, sf):
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    scope = (F.col("p_size"), F.col("p_partkey"))
+    return table(spark, sf, "part").select("p_partkey", V.draw(kind, _POOLS, {"name": "name", "status": "status"}, *scope).alias("value"), V.entity_id(kind, F.col("p_size")).alias("id"))

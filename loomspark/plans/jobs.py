@@ -34,8 +34,11 @@ def build(spark: SparkSession, source: str, out: str, least_score: float = 0.0,
     return S.info(spark, out)
 
 
-def generate(spark: SparkSession, built: str, out: str, count: int, seed: int = 42) -> DataFrame:
-    """Samples `count` chains of the saved graph and writes their conversations as JSON lines; returns the messages."""
+MESSAGES = "array<struct<role:string,content:string,endpoint:string,arguments:map<string,string>>>"
+
+
+def _sampled(spark: SparkSession, built: str, count: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Chains of the saved graph, and its endpoints with the names that their calls need."""
     named = S.load(spark, built, "nodes")
     number = named.select("node", F.xxhash64("node").alias("id"))  # the sampler walks numbers
     edges = S.load(spark, built, "edges").where("edge_type = 'same_domain'").select("src", "dst", "weight")
@@ -44,11 +47,45 @@ def generate(spark: SparkSession, built: str, out: str, count: int, seed: int =
     chains = sampler.sample_chains(spark, numbered, named.select(F.xxhash64("node").alias("node"), "domain"), count, seed)
     names = S.load(spark, built, "parameters").where("required").groupBy("endpoint_id").agg(F.array_sort(F.collect_set("name")).alias("parameters"))
     ends = named.join(names, F.col("node") == F.col("endpoint_id"), "left").select(F.xxhash64("node").alias("node"), X.humanize(F.col("name")).alias("name"), F.coalesce("parameters", F.array().cast("array<string>")).alias("parameters"))
-    messages = sampler.generate(chains, ends, seed)
-    turn = F.struct("pos", "role", "content", "endpoint", "arguments")
-    lines = messages.groupBy("chain").agg(F.array_sort(F.collect_list(F.struct("pos", F.to_json(turn).alias("m")))).alias("ms"))
-    S.write_records(lines.select(F.format_string("chain_%05d", "chain").alias("conversation_id"), F.transform("ms", lambda x: F.from_json(x["m"], "role string, content string, endpoint string, arguments map<string,string>")).alias("messages")), out, "overwrite")
-    return spark.read.schema("conversation_id string, messages array<struct<role:string,content:string,endpoint:string,arguments:map<string,string>>>").json(out)
+    return chains, ends
+
+
+def _conversations(messages: DataFrame, *keys: str) -> DataFrame:
+    """conversation_id, the further keys, and messages in order."""
+    turn = F.to_json(F.struct("pos", "role", "content", "endpoint", "arguments")).alias("m")  # maps can't be sorted
+    lines = messages.groupBy("chain", *keys).agg(F.array_sort(F.collect_list(F.struct("pos", turn))).alias("ms"))
+    return lines.select(F.format_string("chain_%05d", "chain").alias("conversation_id"), *keys, F.transform("ms", lambda x: F.from_json(x["m"], "role string, content string, endpoint string, arguments map<string,string>")).alias("messages"))
+
+
+def generate(spark: SparkSession, built: str, out: str, count: int, seed: int = 42) -> DataFrame:
+    """Samples `count` chains of the saved graph and writes their conversations as JSON lines; returns the messages."""
+    S.write_records(_conversations(sampler.generate(*_sampled(spark, built, count, seed), seed)), out, "overwrite")
+    return spark.read.schema(f"conversation_id string, messages {MESSAGES}").json(out)
+
+
+def generate_attempts(spark: SparkSession, built: str, out: str, count: int, seed: int = 42, retries: int = 3) -> DataFrame:
+    """As generate(), with retries + 1 conversations for each chain: conversation_id, attempt (from 1), messages.
+
+    Attempt k has the seed seed + k - 1. All are made side by side, as waiting for a verdict would cost a job
+    for each round; repair() then takes the first that passes.
+    """
+    chains, ends = _sampled(spark, built, count, seed)
+    made = None
+    for k in range(retries + 1):
+        one = sampler.generate(chains, ends, seed + k).withColumn("attempt", F.lit(k + 1))
+        made = one if made is None else made.unionByName(one)
+    S.write_records(_conversations(made, "attempt"), out, "overwrite")
+    return spark.read.schema(f"conversation_id string, attempt int, messages {MESSAGES}").json(out)
+
+
+def repair(attempts: DataFrame, threshold: float = 3.0) -> DataFrame:
+    """conversation_id, attempt, passed, reason, messages: the first attempt that is valid and passes, else the last one."""
+    keyed = attempts.withColumn("_key", F.struct("conversation_id", "attempt"))
+    judged = evaluate(keyed.select(F.col("_key").alias("conversation_id"), "messages"), threshold).select(F.col("conv").alias("_key"), "passed")
+    each = keyed.join(judged, "_key", "left").withColumn("passed", F.coalesce("passed", F.lit(False)))
+    order = F.struct(~F.col("passed"), F.when(F.col("passed"), F.col("attempt")).otherwise(-F.col("attempt")))
+    best = each.groupBy("conversation_id").agg(F.min_by(F.struct("attempt", "passed", "messages"), order).alias("x"))
+    return best.select("conversation_id", "x.attempt", "x.passed", F.when(~F.col("x.passed"), "max_retries_exceeded").alias("reason"), "x.messages")
 
 
 def evaluate(records: DataFrame, threshold: float = 3.0) -> DataFrame:
