@@ -4,9 +4,12 @@ A line's spread is the number of distinct sites that have it, from HyperLogLog s
 merge by aggregation; lines whose estimate is near the threshold get exact distinct counts. Lines seen on
 one site only are set aside first by comparing their least and greatest site, which loses nothing.
 
-A line that is wide-spread only because whole documents were copied is not boilerplate. So only documents
-that are mostly their own bear witness: those in which at most half of the words stand in lines that
-several sites have. The lines found are then removed from all documents.
+A line that is wide-spread only because whole documents were copied is not boilerplate. So a document bears
+witness for a line only if more than a fifth of its words stand in long enough lines that no other site has, or
+that min_sites times fewer documents have, or if half of its words are in no shared line. A document that is much
+shared, or copied to a few sites with all its own text, still bears witness for a footer that is in many others;
+one of a large group of copies, whose lines are all about as frequent, doesn't. The lines found are then removed
+from all documents.
 
 Nulls: a null site is a site of its own; a null text stays null and has no lines; an empty text has one
 empty line, which is too short to count. Rows that are alike get the same result each. Other columns pass
@@ -23,6 +26,8 @@ from ._common import broadcast_if_small, stage, word_count
 MIN_SITES, MIN_WORDS, PRECISION = 5, 4, 12
 #: Estimates this close to the threshold (a share of it, one at least) are counted exactly.
 NEAR = 0.15
+#: A share a/b: documents that have no more than this of their own are near copies (similarity 0.8, as in the pipeline).
+OWN = (1, 5)
 
 
 def _hash(line: Column) -> Column:
@@ -30,22 +35,29 @@ def _hash(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, site: str, min_words: int) -> DataFrame:
-    """A row for each distinct long enough line of each document: __line, __words, __site, the document's key and __total words."""
+    """A row for each distinct long enough line of each document: __line, __words, __site, the document's key, its __total words and those in such lines (__long)."""
     keyed = docs.where(F.col("text").isNotNull()).select(F.xxhash64(F.coalesce(F.col(site), F.lit("\x00null"))).alias("__site"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text"), word_count(F.col("text")).alias("__total"), F.split("text", "\n", -1).alias("__lines"))
     measured = F.transform("__lines", lambda x: F.struct(_hash(x).alias("h"), word_count(x).alias("n")))
     long = F.array_distinct(F.filter(measured, lambda x: x["n"] >= min_words))
-    return keyed.withColumn("__l", F.explode(long)).select("__site", "__id", "__text", "__total", F.col("__l.h").alias("__line"), F.col("__l.n").alias("__words"))
+    keyed = keyed.withColumn("__ls", long).withColumn("__long", F.aggregate("__ls", F.lit(0).cast("long"), lambda s, x: s + x["n"]))
+    return keyed.withColumn("__l", F.explode("__ls")).select("__site", "__id", "__text", "__total", "__long", F.col("__l.h").alias("__line"), F.col("__l.n").alias("__words"))
 
 
 def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """The line hashes to remove, with sites and occurrences."""
     lines = _lines(docs, site, min_words)
-    several = lines.groupBy("__line").agg(F.min("__site").alias("a"), F.max("__site").alias("b")).where("a <> b").select("__line")
+    several = lines.groupBy("__line").agg(F.min("__site").alias("a"), F.max("__site").alias("b"), F.count("*").alias("__docs")).where("a <> b").select("__line", "__docs")
     several = broadcast_if_small(stage(several, "lines-several"))
-    cross = stage(lines.join(several, "__line").groupBy("__line", "__site", "__text", "__total", "__words").agg(F.count("*").alias("n")), "line-cross")
-    per_text = cross.select("__text", "__total", "__line", "__words").distinct().groupBy("__text", "__total").agg(F.sum("__words").alias("shared"))
-    own = per_text.where(2 * F.col("shared") <= F.col("__total")).select("__text")
-    pairs = stage(cross.join(own, "__text", "left_semi").groupBy("__line", "__site").agg(F.sum("n").alias("n")), "line-sites")
+    cross = stage(lines.join(several, "__line").groupBy("__line", "__docs", "__site", "__text", "__total", "__long", "__words").agg(F.count("*").alias("n")), "line-cross")
+    per_text = cross.select("__text", "__total", "__long", "__line", F.struct("__docs", "__words").alias("__w")).distinct().groupBy("__text", "__total", "__long").agg(F.array_sort(F.collect_list("__w")).alias("__ws"))
+    # what the lines without others lack of the share, and how frequent the rarest shared lines are that make it up (__reach; 0: none needed)
+    a, b = OWN
+    shared = F.aggregate("__ws", F.lit(0).cast("long"), lambda s, x: s + x["__words"])
+    lack = F.when(2 * shared <= F.col("__total"), -1).otherwise(a * F.col("__total") - b * (F.col("__long") - shared))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("reach"))
+    rarest = F.aggregate("__ws", start, lambda s, x: F.when(b * s["sum"] > F.col("__lack"), s).otherwise(F.struct((s["sum"] + x["__words"]).alias("sum"), x["__docs"].alias("reach"))))
+    own = per_text.withColumn("__lack", lack).select("__text", rarest["reach"].alias("__reach"))
+    pairs = stage(cross.join(own, "__text").where(F.col("__reach") * min_sites <= F.col("__docs")).groupBy("__line", "__site").agg(F.sum("n").alias("n")), "line-sites")
     spread = pairs.groupBy("__line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("__site", PRECISION)).alias("estimate"), F.sum("n").alias("occurrences"))
     margin = max(1.0, NEAR * min_sites)
     spread = stage(spread.where(F.col("estimate") >= min_sites - margin), "line-spread")

@@ -186,6 +186,19 @@ def test_line_dedup_on_table(spark):
     assert Counter((r.doc_id, r.text) for r in out) == Counter((i, "\n".join(x for x in t.split("\n") if x.strip(" ") not in drop)) for i, t, _, _ in rows)
 
 
+def test_line_dedup_short_and_copied_bodies(spark):
+    """Site counts are over all documents: short bodies and copied ones bear witness too, copies of one body don't."""
+    text = lambda name, n: " ".join(f"{name}w{k}" for k in range(n))
+    passage, second, footer = text("passage", 60), text("second", 60), "All rights reserved by the network"
+    shorts = [(i, f"{passage}\n{text(f'own{i}', 40)}", "en", f"s{i % 20}") for i in range(100)]
+    two = [(i, f"{passage}\n{second}\n{text(f'own{i}', 40)}", "en", f"s{i % 20}") for i in range(100)]
+    copied = [(2 * i + k, f"{text(f'a{i}', 30)}\n{text(f'b{i}', 30)}\n{footer}", "en", f"s{(i + k) % 20}") for i in range(50) for k in (0, 1)]
+    near = [(i, "\n".join([text(f"edit{i}", 4), *(text(f"same{k}", 20) for k in range(6)), footer]), "en", f"s{i % 20}") for i in range(60)]
+    for rows, drop in ((shorts, {passage}), (two, {passage, second}), (copied, {footer}), (near, set())):
+        got = Counter((r.doc_id, r.text, r.n_removed) for r in linededup.remove_boilerplate(frame(spark, rows)).collect())
+        assert got == Counter((i, "\n".join(x for x in t.split("\n") if x not in drop), len(drop)) for i, t, _, _ in rows)
+
+
 def check_packing(out, capacity=2048):
     by = defaultdict(list)
     for r in out:
