@@ -30,6 +30,8 @@ SPACE = re.compile(r"\s+")
 RAW = frozenset("script style noscript template iframe object textarea title svg math canvas select".split())
 #: Tags that hold no main text.
 ASIDE = frozenset("nav header footer aside form button menu dialog head".split())
+#: Tags that may stand in a head; any other one ends it, as </head> may be left out.
+IN_HEAD = frozenset("html head title base link meta style script noscript template noframes basefont bgsound".split())
 #: Words of class, id and role that mark what is no main text.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side rail nav navbar navigation menu menubar breadcrumb breadcrumbs "
@@ -98,6 +100,8 @@ class Page:
             if tag is None:
                 token = m[0]
                 if token[0] != "<" or token == "<":
+                    if stack and stack[-1][0] == "head" and token.strip():
+                        pop()
                     if not apart:
                         pieces.append(token)
                         if links:
@@ -116,9 +120,13 @@ class Page:
                     if tag in INLINE and stack[i][0] not in INLINE:
                         break
                 continue
+            if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
+                pop()
             if tag in RAW:
+                if tag in ("svg", "math") and m[3].endswith("/"):  # closed by itself
+                    continue
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, m.end())
-                skip_to = end.end() if end else len(source)
+                skip_to = end.end() if end else m.end() if tag in ("svg", "math") else len(source)  # HTML goes on after an svg without end
                 if tag not in ("svg", "math", "canvas") and not apart:
                     flush()
                 continue

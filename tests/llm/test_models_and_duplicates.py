@@ -299,6 +299,20 @@ def test_html(spark):
     assert {r.host: r.path for r in htmltext.votes(df).collect() if r.votes == 5} == {"a.example": "/html/body.home/div/div.content.post-#"}
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><title>T</title><meta charset=x><style>p{}</style><body>", "<head><title>T</title>", "<html><head><script>var a;</script><link rel=x>\n<body class=c>",
+])
+def test_html_without_head_end(start):
+    page = htmltext.Page(start + "<article><p>All of the text</article>")
+    assert page.text(page.best()[0]) == "All of the text"
+
+
+@pytest.mark.parametrize("icon", ['<svg class="i" />', "<svg/>", '<math alttext="x"/>', '<svg width="1">', '<svg><path d="x"/><text>no</text></svg>'])
+def test_html_icons(icon):
+    page = htmltext.Page(f"<html><head><title>T</title></head><body><article><p>Before {icon}the icon<p>and after</article></body></html>")
+    assert page.text(page.best()[0]) == "Before the icon and after"
+
+
 def test_html_table(spark, sf):
     import html
 
