@@ -223,6 +223,13 @@ def khop(spark, sf):
     return G.k_hop(G.prune(edges(spark, sf), 3), table(spark, sf, "supplier").where("s_suppkey <= 20").select(F.col("s_suppkey").alias("origin")), 2)
 
 
+@query(f"""WITH {_PRUNED}, h1 AS (SELECT src AS origin, dst AS node FROM p UNION SELECT dst, src FROM p),
+h2 AS (SELECT DISTINCT a.origin, b.node FROM h1 a JOIN h1 b ON a.node = b.origin WHERE b.node <> a.origin AND (a.origin, b.node) NOT IN (SELECT (origin, node) FROM h1))
+SELECT origin, node, 1 AS hops FROM h1 UNION ALL SELECT origin, node, 2 FROM h2""")
+def khop_all(spark, sf):
+    return G.k_hop(G.prune(edges(spark, sf), 3), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("origin")), 2)
+
+
 @query(f"WITH {_EDGES} SELECT (SELECT count(*) FROM n) AS n_nodes, count(*) AS n_edges, round(avg(weight), 9) AS mean_weight, round(CAST(count(*) AS DOUBLE) / ((SELECT count(*) FROM n) * ((SELECT count(*) FROM n) - 1)), 9) AS density FROM e")
 def graph_stats(spark, sf):
     return G.stats(nodes(spark, sf), edges(spark, sf)).withColumns({"mean_weight": F.round("mean_weight", 9), "density": F.round("density", 9)})

@@ -21,6 +21,12 @@ def test_query_equals_sql(spark, sf, name):
     compare(spark, sf, catalog.QUERIES[name], catalog.ORACLES[name])
 
 
+def test_khop_all_starts_everywhere(spark):
+    sf = "/root/testdata/sf0.01"
+    assert compare(spark, sf, catalog.QUERIES["khop_all"], catalog.ORACLES["khop_all"]) == 196
+    assert catalog.QUERIES["khop_all"](spark, sf).where("origin > 20").count() > 0
+
+
 def value(spark, column, **inputs):
     return spark.range(1).select(*[F.lit(v).alias(k) for k, v in inputs.items()]).select(column).head()[0]
 
