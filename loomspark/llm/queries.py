@@ -70,7 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for the same rows. op1: a source's stream is its rows by the hash of their ids, taken from its
-#: start and repeated until the target is met. op10: exact site counts instead of sketches.
+#: start and repeated until the target is met. op3: values themselves instead of hashes. op10: exact site counts instead of sketches.
 ORACLES: dict[str, str] = {
     "op1_source_mixing": r"""
 WITH d AS (
@@ -101,6 +101,42 @@ o AS (
 SELECT o.doc_id, o.size, p.source_size, p.target,
        CAST(o.size * p.epochs + greatest(0, least(o.at + o.size, p.rest) - o.at) AS BIGINT) AS taken
 FROM o JOIN p ON o.source IS NOT DISTINCT FROM p.source
+""",
+    "op3_secret_ownership": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+p(ord, kind, least) AS (VALUES (0, 'assign', 12), (1, 'access', 18), (2, 'hex', 16), (3, 'token', 24)),
+m AS (
+  SELECT r, ord, kind, least, regexp_extract_all(t, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS w,
+         regexp_extract_all(t, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) AS v,
+         string_split_regex(t, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS b FROM d, p WHERE ord = 0
+  UNION ALL SELECT r, ord, kind, least, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') FROM d, p WHERE ord = 1
+  UNION ALL SELECT r, ord, kind, least, regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), string_split_regex(t, '[0-9a-f]+') FROM d, p WHERE ord = 2
+  UNION ALL SELECT r, ord, kind, least, regexp_extract_all(t, '[A-Za-z0-9+/_=-]+'), regexp_extract_all(t, '[A-Za-z0-9+/_=-]+'), string_split_regex(t, '[A-Za-z0-9+/_=-]+') FROM d, p WHERE ord = 3),
+e AS (
+  SELECT r, ord, kind, least, unnest(w) AS w, unnest(v) AS v, unnest(list_slice(b, 1, len(w))) AS b, unnest(generate_series(1, len(w))) AS pos
+  FROM m WHERE len(w) > 0),
+o AS (SELECT *, sum(length(b) + length(w)) OVER (PARTITION BY r, ord ORDER BY pos) AS stop FROM e),
+s AS (
+  SELECT r, ord, kind, v, CAST(stop - length(w) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM o
+  WHERE length(v) >= least AND (ord < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')))),
+c AS (
+  SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners, count(DISTINCT coalesce(doc_id, -1)) AS repos
+  FROM s JOIN d USING (r) GROUP BY v),
+j AS (
+  SELECT s.*, owners >= 3 OR (owners > 1 AND repos >= 16) AS example, len(list_distinct(string_split(v, ''))) >= 8 AS varied
+  FROM s JOIN c USING (v)),
+k AS (
+  SELECT *, NOT example AND varied AS live FROM j
+  WHERE ord < 3 OR (NOT example AND varied AND NOT EXISTS (SELECT 1 FROM s AS y WHERE y.r = j.r AND y.ord < 3 AND y.start < j.stop AND j.start < y.stop))),
+g AS (
+  SELECT r, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example
+  FROM k GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN g USING (r)
 """,
     "op10_line_spread": r"""
 WITH d AS (SELECT doc_id, text, source, string_split(text, chr(10)) AS lines FROM documents),
