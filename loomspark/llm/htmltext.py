@@ -7,7 +7,7 @@ its own best one.
 
 Nulls: a null html is empty and gives an empty text; pages without a url share the null host. Rows that are
 alike get the same text each. An empty table gives no rows; other columns are not read. Very long pages are read
-whole.
+whole, in one pass, also where tags or quotes never close or are nested deeply.
 """
 
 from __future__ import annotations
@@ -23,11 +23,15 @@ from pyspark.sql import functions as F
 
 from ._common import broadcast_if_small, small_batches, stage
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A tag's name and the rest of the tag; a quote counts only as the start of a value, and nothing is read twice.
+OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/><]*+)")
+REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>""")
+ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
 SPACE = re.compile(r"\s+")
-#: Tags whose content is raw text or never shown.
+#: Tags whose content is raw text or never shown. Without an end tag, those of TO_THE_END take the rest of the page.
 RAW = frozenset("script style noscript template iframe object textarea title svg math canvas select".split())
+TO_THE_END = frozenset("script style textarea title".split())
+RAW_END = {t: re.compile(rf"</{t}\s*+>", re.I) for t in RAW}
 #: Tags that hold no main text.
 ASIDE = frozenset("nav header footer aside form button menu dialog head".split())
 #: Tags that may stand in a head; any other one ends it, as </head> may be left out.
@@ -47,34 +51,113 @@ CONTAINERS_PREFERRED = frozenset(("article", "main"))
 
 
 def _name(tag: str, attributes: str) -> tuple[str, bool]:
-    """The generalised step of a path, and whether the element is set apart from main text."""
+    """The generalised step of a path, and whether the element is set apart from main text.
+
+    A block of text is set apart by a whole class or role only, a container by any word of one.
+    """
     words: list[str] = []
     marked = False
     if attributes:
         for kind, a, b, c in ATTRIBUTE.findall(attributes):
-            value = (a or b or c).lower()
-            split = re.split(r"[\s_-]+", value)
-            marked = marked or not MARKS.isdisjoint(split)
-            if kind.lower() == "class":
-                words = sorted({re.sub(r"\d+", "#", w) for w in value.split()})
+            kind = kind.lower()
+            if kind in ("class", "id", "role"):
+                value = (a or b or c).lower()
+                marked = marked or not MARKS.isdisjoint(value.split() if tag in TEXT else re.split(r"[\s_-]+", value))
+                if kind == "class":
+                    words = sorted({re.sub(r"\d+", "#", w) for w in value.replace("/", "_").split()})
     return ".".join([tag, *words]), marked
 
 
+def tokens(source: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) in page order; kind is text, open or close. One pass over the page.
+
+    A tag whose quotes never close ends at its first `>`; one without any `>` ends at the next `<`. Comments and
+    raw content are skipped.
+    """
+    at, n = 0, len(source)
+    last_end = source.rfind(">")
+    quotes_hold = True  # until a quoted value runs to the end of the page
+    endless: set[str] = set()  # raw tags that have no end tag from here on
+    while at < n:
+        start = source.find("<", at)
+        if start < 0:
+            start = n
+        if start > at:
+            yield "text", source[at:start], ""
+        if start == n:
+            return
+        m = OPEN.match(source, start)
+        if m is None:
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                at = end + 3 if end >= 0 else n
+            elif source[start + 1 : start + 2] in ("!", "?", "/") and start < last_end:
+                at = source.index(">", start) + 1
+            else:
+                yield "text", "<", ""
+                at = start + 1
+            continue
+        name = m[2].lower()
+        if m.end() > last_end:
+            end = source.find("<", m.end())
+            at = end if end >= 0 else n
+            attributes = source[m.end() : at]
+        else:
+            rest = REST.match(source, m.end()) if quotes_hold else None
+            quotes_hold = rest is not None
+            at = rest.end() if rest else source.index(">", m.end()) + 1
+            attributes = source[m.end() : at - 1]
+        if m[1]:
+            yield "close", name, ""
+            continue
+        yield "open", name, attributes
+        if name in RAW and not (name in ("svg", "math") and attributes.endswith("/")):
+            end = None if name in endless else RAW_END[name].search(source, at)
+            if end:
+                at = end.end()
+            else:
+                endless.add(name)
+                at = n if name in TO_THE_END else at
+
+
 class Page:
-    """The blocks of a page, each with the path of its container: (container number, text, link characters)."""
+    """The blocks of a page, each with its container: (container number, text, link characters).
+
+    Containers that have the same path of steps share a path number; a path knows its parent, its last step, its
+    depth and how long it is when written out, but is written out only when asked for.
+    """
 
     def __init__(self, source: str):
-        self.paths: list[str] = [""]
-        self.parents: list[int] = [-1]
+        self.parents, self.path_of = [-1], [0]  # by container
+        self.path_parent, self.step, self.depth, self.length = [-1], [""], [0], [0]  # by path
+        self.path_number: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, str, int]] = []
         self._read(source)
 
+    def _path(self, parent: int, step: str) -> int:
+        found = self.path_number.get((parent, step))
+        if found is None:
+            found = self.path_number[parent, step] = len(self.step)
+            self.path_parent.append(parent)
+            self.step.append(step)
+            self.depth.append(self.depth[parent] + 1)
+            self.length.append(self.length[parent] + 1 + len(step))
+        return found
+
+    def _written(self, path: int) -> str:
+        steps = []
+        while path > 0:
+            steps.append(self.step[path])
+            path = self.path_parent[path]
+        return "".join(f"/{s}" for s in reversed(steps))
+
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int, bool]] = []  # tag, container, set apart
-        container, apart, links = 0, 0, 0
+        open_tags: dict[str, int] = defaultdict(int)  # how many of a tag are on the stack
+        inline_tags: list[dict[str, int]] = [defaultdict(int)]  # the same of inline tags, for each open block
+        apart, links, linked = 0, 0, 0
         pieces: list[str] = []
-        linked, opened_containers = 0, [0]
-        skip_to = 0
+        opened_containers, articles = [0], 0
 
         def flush() -> None:
             nonlocal linked
@@ -85,48 +168,52 @@ class Page:
                 pieces.clear()
             linked = 0
 
+        def push(tag: str, own: int, marked: bool) -> None:
+            nonlocal apart, links, articles
+            stack.append((tag, own, marked))
+            open_tags[tag] += 1
+            if tag in INLINE:
+                inline_tags[-1][tag] += 1
+                links += tag == "a"
+            else:
+                inline_tags.append(defaultdict(int))
+                articles += tag == "article"
+            apart += marked
+
         def pop() -> None:
-            nonlocal apart, links
+            nonlocal apart, links, articles
             tag, own, was_apart = stack.pop()
+            open_tags[tag] -= 1
+            if tag in INLINE:
+                inline_tags[-1][tag] -= 1
+                links -= tag == "a"
+            else:
+                inline_tags.pop()
+                articles -= tag == "article"
             apart -= was_apart
-            links -= tag == "a"
             if own:
                 opened_containers.pop()
 
-        for m in TOKEN.finditer(source):
-            if m.start() < skip_to:
+        for kind, tag, attributes in tokens(source):
+            if kind == "text":
+                if stack and stack[-1][0] == "head" and tag.strip():
+                    pop()
+                if not apart:
+                    pieces.append(tag)
+                    if links:
+                        linked += len(tag)
                 continue
-            tag = m[2]
-            if tag is None:
-                token = m[0]
-                if token[0] != "<" or token == "<":
-                    if stack and stack[-1][0] == "head" and token.strip():
+            if kind == "close":
+                if tag not in INLINE and not apart:
+                    flush()
+                if (inline_tags[-1] if tag in INLINE else open_tags).get(tag):
+                    while stack[-1][0] != tag:
                         pop()
-                    if not apart:
-                        pieces.append(token)
-                        if links:
-                            linked += len(token)
-                continue
-            tag = tag.lower()
-            if m[1]:
-                if tag not in INLINE:
-                    if not apart:
-                        flush()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        while len(stack) > i:
-                            pop()
-                        break
-                    if tag in INLINE and stack[i][0] not in INLINE:
-                        break
+                    pop()
                 continue
             if stack and stack[-1][0] == "head" and tag not in IN_HEAD:
                 pop()
             if tag in RAW:
-                if tag in ("svg", "math") and m[3].endswith("/"):  # closed by itself
-                    continue
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, m.end())
-                skip_to = end.end() if end else m.end() if tag in ("svg", "math") else len(source)  # HTML goes on after an svg without end
                 if tag not in ("svg", "math", "canvas") and not apart:
                     flush()
                 continue
@@ -137,10 +224,7 @@ class Page:
                     flush()
                 continue
             if tag in INLINE:
-                links += tag == "a"
-                _, marked = _name(tag, m[3]) if m[3] else ("", False)
-                stack.append((tag, 0, marked))
-                apart += marked
+                push(tag, 0, bool(attributes) and _name(tag, attributes)[1])
                 continue
             if not apart:
                 flush()
@@ -152,16 +236,19 @@ class Page:
             if closes:
                 while stack and stack[-1][0] in closes:
                     pop()
-            step, marked = _name(tag, m[3])
-            marked = (marked and tag not in ("body", "html", "main", "article")) or tag in ASIDE
+            step, marked = _name(tag, attributes)
+            if tag == "header" and articles:  # an article's own header has its heading
+                marked = False
+            else:
+                marked = (marked and tag not in ("body", "html", "main", "article")) or tag in ASIDE
             own = 0
             if tag not in TEXT:
-                self.paths.append(f"{self.paths[opened_containers[-1]]}/{step}")
-                self.parents.append(opened_containers[-1])
-                own = len(self.paths) - 1
+                parent = opened_containers[-1]
+                self.parents.append(parent)
+                self.path_of.append(self._path(self.path_of[parent], step))
+                own = len(self.parents) - 1
                 opened_containers.append(own)
-            stack.append((tag, own, marked))
-            apart += marked
+            push(tag, own, marked)
         if not apart:
             flush()
 
@@ -169,30 +256,34 @@ class Page:
         """The path of the best container, and its score; empty for a page without text."""
         if not self.blocks:
             return "", 0.0
-        direct: dict[int, list[int]] = defaultdict(lambda: [0, 0])
-        for c, text, links in self.blocks:
-            direct[c][0] += len(text)
-            direct[c][1] += min(links, len(text))
-        total = {c: list(v) for c, v in direct.items()}
-        for c in range(len(self.paths) - 1, 0, -1):
-            if c in total:
-                up = total.setdefault(self.parents[c], [0, 0])
-                up[0] += total[c][0]
-                up[1] += total[c][1]
-        found: dict[str, float] = defaultdict(float)
-        for c, (n, links) in total.items():
-            kind = self.paths[c].rpartition("/")[2].partition(".")[0]
-            plain = n - 1.5 * links
-            depth = self.paths[c].count("/")
-            found[self.paths[c]] += plain * (1.6 if kind in CONTAINERS_PREFERRED else 1.0) * (1 + 0.01 * min(depth, 20)) * (0.5 if kind in ("", "html", "body") else 1.0)
-        path = max(found, key=lambda k: (found[k], -len(k), k))
-        return path, found[path]
+        text, links = [0] * len(self.parents), [0] * len(self.parents)
+        for c, block, linked in self.blocks:
+            text[c] += len(block)
+            links[c] += min(linked, len(block))
+        score: dict[int, float] = defaultdict(float)
+        for c in range(len(self.parents) - 1, -1, -1):
+            if not text[c]:
+                continue
+            if c:
+                text[self.parents[c]] += text[c]
+                links[self.parents[c]] += links[c]
+            path = self.path_of[c]
+            kind = self.step[path].partition(".")[0]
+            score[path] += (text[c] - 1.5 * links[c]) * (1.6 if kind in CONTAINERS_PREFERRED else 1.0) * (1 + 0.01 * min(self.depth[path], 20)) * (0.5 if kind in ("", "html", "body") else 1.0)
+        most, length = max((v, -self.length[k]) for k, v in score.items())
+        path = max(self._written(k) for k, v in score.items() if v == most and self.length[k] == -length)
+        return path, most
 
     def text(self, path: str) -> str:
-        """The text of the containers on the path, in page order."""
-        inside = [False] * len(self.paths)
-        for c, own in enumerate(self.paths):
-            inside[c] = own == path or (c > 0 and inside[self.parents[c]])
+        """The text of the containers on the path, in page order; empty if the page has none."""
+        number = 0
+        for step in path.split("/")[1:]:
+            number = self.path_number.get((number, step), -1)
+            if number < 0:
+                return ""
+        inside = [False] * len(self.parents)
+        for c, own in enumerate(self.path_of):
+            inside[c] = own == number or (c > 0 and inside[self.parents[c]])
         return " ".join(t for c, t, _ in self.blocks if inside[c])
 
 
@@ -225,7 +316,7 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = []
             for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 page = Page(source or "")
-                text = page.text(path) if path is not None and path in page.paths else ""
+                text = page.text(path) if path is not None else ""
                 texts.append(text or page.text(page.best()[0]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(3)], ["page_id", "url", "text", "n_chars", "path"])
 
