@@ -69,6 +69,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_spread": op10_line_spread,
 }
 
+def _hilbert_sql(bits: int = 4, dims: int = 3) -> str:
+    """The curve of op4 as steps of a query: cells(x0, x1, x2, curve_index), one step for each bit and axis."""
+    side, names = 1 << bits, ", ".join(f"x{i}" for i in range(dims))
+    cells = ", ".join(f"(c // {side ** (dims - 1 - i)}) % {side} AS x{i}" for i in range(dims))
+    out, last = [f"h0 AS (SELECT c AS cell, {cells} FROM range({side**dims}) AS r(c))"], "h0"
+    for b in range(bits - 1, 0, -1):
+        q, p = 1 << b, (1 << b) - 1
+        for i in range(dims):
+            swap = f"(xor(x0, x{i}) & {p})"
+            new = {"x0": f"CASE WHEN x{i} & {q} <> 0 THEN xor(x0, {p}) ELSE xor(x0, {swap}) END"}
+            if i:
+                new[f"x{i}"] = f"CASE WHEN x{i} & {q} <> 0 THEN x{i} ELSE xor(x{i}, {swap}) END"
+            name = f"h{b}_{i}"
+            out.append(f"{name} AS (SELECT cell, {', '.join(f'{new.get(x, x)} AS {x}' for x in names.split(', '))} FROM {last})")
+            last = name
+    gray = ["x0"]
+    for i in range(1, dims):
+        gray.append(f"xor(x{i}, {gray[-1]})")
+    out.append(f"g AS (SELECT cell, {', '.join(f'{e} AS x{i}' for i, e in enumerate(gray))} FROM {last})")
+    turn = "0"
+    for b in range(bits - 1, 0, -1):
+        turn = f"xor({turn}, CASE WHEN x{dims - 1} & {1 << b} <> 0 THEN {(1 << b) - 1} ELSE 0 END)"
+    out.append(f"t AS (SELECT *, {turn} AS t FROM g)")
+    index = " + ".join(f"((xor(x{i}, t) >> {b}) & 1) * {1 << (b * dims + dims - 1 - i)}" for b in range(bits) for i in range(dims))
+    out.append(f"curve AS (SELECT cell, {index} AS curve_index FROM t)")
+    return ",\n".join(out)
+
+
 #: DuckDB SQL for the same rows. op1: a source's stream is its rows by the hash of their ids, taken from its
 #: start and repeated until the target is met. op3: values themselves instead of hashes. op10: exact site counts instead of sketches.
 ORACLES: dict[str, str] = {
@@ -137,6 +165,36 @@ g AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
        coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM d LEFT JOIN g USING (r)
+""",
+    "op4_hilbert_shards": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, ''))) + 1 AS size, md5(coalesce(text, '')) AS k, lang, source,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS dk FROM documents),
+lang_n AS (SELECT lang AS v, count(*) AS n FROM d GROUP BY lang),
+lang_s AS (SELECT v, (16 * (2 * coalesce(sum(n) OVER (ORDER BY v NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + n)) // (2 * sum(n) OVER ()) AS step FROM lang_n),
+source_n AS (SELECT source AS v, count(*) AS n FROM d GROUP BY source),
+source_s AS (SELECT v, (16 * (2 * coalesce(sum(n) OVER (ORDER BY v NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + n)) // (2 * sum(n) OVER ()) AS step FROM source_n),
+""" + _hilbert_sql() + r""",
+o AS (
+  SELECT k, count(*) AS n, min(size) AS size, first(lang ORDER BY lang NULLS FIRST, source NULLS FIRST) AS lang, first(source ORDER BY lang NULLS FIRST, source NULLS FIRST) AS source
+  FROM d GROUP BY k),
+p AS (
+  SELECT o.k, o.n, curve_index FROM o
+  JOIN lang_s ON o.lang IS NOT DISTINCT FROM lang_s.v JOIN source_s ON o.source IS NOT DISTINCT FROM source_s.v
+  JOIN curve ON cell = 256 * greatest(0, least(15, 2 * length(bin(size)) + coalesce(TRY_CAST(substr(bin(size), 2, 1) AS INTEGER), 0) - 14)) + 16 * lang_s.step + source_s.step),
+r AS (
+  SELECT doc_id, t, size, curve_index, row_number() OVER (ORDER BY curve_index, k, dk, doc_id NULLS FIRST) - 1 AS rank, count(*) OVER () AS n
+  FROM d JOIN p USING (k)),
+s AS (SELECT *, (rank * 8) // n AS shard FROM r),
+tab AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS tab
+  FROM range(256) AS x(n)),
+crcs AS (
+  SELECT t, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))) AS crc
+  FROM (SELECT DISTINCT t FROM d), tab)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(rank - (shard * n + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, CAST(curve_index AS BIGINT) AS curve_index
+FROM s JOIN crcs USING (t)
 """,
     "op10_line_spread": r"""
 WITH d AS (SELECT doc_id, text, source, string_split(text, chr(10)) AS lines FROM documents),
