@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ ROWS_PER_BUCKET = 2_048
 BROADCAST_ROWS = 50_000
 
 _local: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,7 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
     if "dir" not in _local:
         _local["dir"] = tempfile.mkdtemp(prefix="loomspark-")
@@ -38,21 +42,52 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local['dir']}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that stage() or scratch() made."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end; write what is to stay with staged_at before."""
+    path = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _scopes.append(path)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        delete(spark, path)
+
+
+def staged_at(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends here and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged_at(df, f"{_scopes[-1] if _scopes else shared_dir(df.sparkSession)}/stage-{name}-{uuid.uuid4().hex}")
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the rows of an Arrow batch, as texts may be very long."""
+    """Bound the rows of an Arrow batch, as texts may be very long. The plan reads this setting when it runs, so it stays set."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
 
 
+def row_key(df: DataFrame) -> Column:
+    """A hash of all of a row's columns; maps, which have no hash, count as their JSON."""
+    plain = lambda f: not any(k in f.dataType.simpleString() for k in ("map<", "variant"))
+    return F.xxhash64(*[F.col(f"`{f.name}`") if plain(f) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema])
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns as one struct, so that no helper column's name can clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

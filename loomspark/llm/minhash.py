@@ -10,7 +10,7 @@ then give the components by large-star and small-star.
 
 Nulls: null, empty and blank texts have no shingles and are linked with nothing. A null doc_id belongs to its
 component but doesn't name it, unless all are null. Rows that are alike are one node. An empty table gives
-no rows; other columns are not read. Very long texts are compared whole.
+no rows; other columns are not read, or pass through with the rows that stay. Very long texts are compared whole.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import WORD, small_batches, stage
+from ._common import WORD, packed, small_batches, stage
 from .components import connected_components
 
 #: 196 minima in 28 bands of 7: a pair at similarity 0.85 escapes all bands with probability 2e-5, at 0.8 with 1.4e-3.
@@ -221,9 +221,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (8
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """docs with one row of each component: one with its least doc_id. Rows without words all stay."""
+    """docs with one row of each component: one with its least doc_id. Rows without words all stay; all columns pass through."""
     found = near_duplicates(docs, k, threshold)
-    kept = found.where(F.col("kept") & F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("_kept")).select("_kept").hint("merge")
+    kept = found.where(F.col("kept") & F.col("root").isNotNull()).groupBy("root").agg(F.min("row").alias("kept_row")).select("kept_row").hint("merge")
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    one = docs.where(has_words).withColumn("_row", _row(docs)).join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"])
-    return one.select(*docs.columns).unionByName(docs.where(~has_words))
+    keyed = docs.select(_row(docs).alias("key"), has_words.alias("has_words"), packed(docs).alias("whole"))
+    one = keyed.where("has_words").join(kept, F.col("key") == F.col("kept_row"), "left_semi").groupBy("key").agg(F.first("whole").alias("whole"))
+    return one.select("whole").unionByName(keyed.where("NOT has_words").select("whole")).select("whole.*")

@@ -4,9 +4,13 @@ Van der Corput points (bit reversal in base 2) are mapped through the sources' c
 point's rank within its source is a closed form of its bits, so no window over a hot source is needed. Slot
 j of a source takes block j of the source's shuffled token stream, and the stream repeats by epochs.
 
+The mix itself (mixed_documents) has whole documents: one that the schedule cuts at its source's end counts if half
+or more of it is taken, so a source's total may miss its target by half of one document. Each copy stands at the
+position of its first word, and the rows come in the order of positions.
+
 Nulls and ties: a null source is a source of its own (last); null or blank texts have size 0 and are never
 taken; rows that are alike share the hash order and are interchangeable. An empty table gives no rows.
-Other columns of the input are not read.
+Other columns of the input are not read, or pass through with the rows, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -17,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ._common import broadcast_if_small, running_total, stage, word_count
+from ._common import broadcast_if_small, packed, row_key, running_total, stage, word_count
 
-#: Words in a block, unless the schedule would then have more than MAX_SLOTS slots.
-BLOCK_WORDS, MAX_SLOTS, CHUNK = 1024, 1 << 24, 4096
+#: Words in a block, slots in a chunk, slots that a task makes.
+BLOCK_WORDS, CHUNK, SLOTS_A_TASK = 1024, 4096, 1 << 16
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2) -> DataFrame:
@@ -63,7 +67,7 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     plan = stage(plan.withColumn("hi", F.sum("slots").over(Window.orderBy("ordinal"))).withColumn("lo", F.col("hi") - F.col("slots")), "mix-plan")
     n = plan.agg(F.max("hi")).head()[0] or 0
     bits = max(1, (n - 1).bit_length()) if n else 1
-    chunks = plan.where("slots > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK)))).repartition(F.col("ordinal"), F.col("chunk"))
+    chunks = plan.where("slots > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK)))).repartition(-(-n // SLOTS_A_TASK) or 1, F.col("ordinal"), F.col("chunk"))
     last = F.least(F.col("lo") + (F.col("chunk") + 1) * CHUNK, F.col("hi")) - 1
     points = chunks.withColumn("v", F.explode(F.sequence(F.col("lo") + F.col("chunk") * CHUNK, last)))
     # points of this source that come before v: for each set bit q of v, those that agree with v below q and have q unset
@@ -74,48 +78,63 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     return points.select("position", "source", "epoch", "block", F.least((F.col("block") + 1) * block, end).alias("upto"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """For each row of docs(doc_id, text, source): size, source_size, target, taken, first_position (or null).
+def taken_pieces(docs: DataFrame, weights: Sequence[int], share: tuple[int, int], most: int, block_words: int, keep: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes, targets, pieces): pieces has a row for each part of a row of docs that a slot takes: position, epoch, words.
 
-    taken counts the words that the mix takes from the row, repeats counted; it never exceeds `most` times
-    the row's size. keep names further columns of docs to carry (with the text, this shuffles the texts).
+    Rows with words that no slot takes have one piece without position.
     """
     slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *keep)
     slim = stage(slim, "mix-sizes")
-    n, words = slim.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).head()
-    block = block_words or max(BLOCK_WORDS, -(-words * share[0] // (share[1] * MAX_SLOTS)))
+    n = slim.count()
     targets = stage(source_targets(slim, weights, share, most), "mix-targets")
-    slots = schedule(targets, block)
+    slots = schedule(targets, block_words)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     spread = F.conv(F.substring(key, 1, 8), 16, 10).cast("long") / 4
     tie = [F.xxhash64(*keep)] if keep else []
     rows = running_total(slim, ["source"], [key, F.col("doc_id").asc_nulls_first(), F.col("size"), *tie], "at", n, "size", spread.cast("long"))
-    first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)
+    first, last = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words)
     pieces = rows.where("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
-    pieces = pieces.withColumns({"_from": F.greatest("at", F.col("block") * block), "_to": F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block)})
-    s = slots.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "position", "upto").hint("merge")  # slots grow with the input: never broadcast
+    pieces = pieces.withColumns({"_from": F.greatest("at", F.col("block") * block_words), "_to": F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)})
+    s = slots.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "position", "epoch", "upto").hint("merge")  # slots grow with the input: never broadcast
     got = pieces.join(s, pieces.source.eqNullSafe(s._source) & (pieces.block == s._block), "left")
-    words_taken = F.when(F.col("upto").isNull(), 0).otherwise(F.greatest(F.least("_to", "upto") - F.col("_from"), F.lit(0)))
-    same = ["doc_id", "source", "size", "at", *keep]
-    taken = got.groupBy(*same).agg(F.coalesce(F.sum(words_taken), F.lit(0)).cast("long").alias("taken"), F.min(F.when(words_taken > 0, F.col("position"))).alias("first_position"))
-    none = slim.where("size = 0").select("doc_id", "source", "size", F.lit(None).cast("long").alias("at"), *keep, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_position"))
+    words = F.when(F.col("upto").isNull(), 0).otherwise(F.greatest(F.least("_to", "upto") - F.col("_from"), F.lit(0))).cast("long")
+    got = got.select("doc_id", "source", "size", "at", *keep, "position", "epoch", words.alias("words"))
+    return slim, targets, got.withColumn("position", F.when(F.col("words") > 0, F.col("position")))
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """For each row of docs(doc_id, text, source): size, source_size, target, taken, first_position (or null), source.
+
+    taken counts the words that the mix takes from the row, repeats counted; it never exceeds `most` times
+    the row's size. first_position is where in the schedule the row's words first stand.
+    """
+    slim, targets, pieces = taken_pieces(docs, weights, share, most, block_words, ())
+    taken = pieces.groupBy("doc_id", "source", "size", "at").agg(F.sum("words").alias("taken"), F.min("position").alias("first_position")).drop("at")
+    every = taken.unionByName(slim.where("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_position": F.lit(None).cast("long")}))
     info = broadcast_if_small(targets.select(F.col("source").alias("_source"), "source_size", "target"))
-    every = taken.unionByName(none)
-    return every.join(info, every.source.eqNullSafe(info._source), "inner").select("doc_id", *keep, "size", "source_size", "target", "taken", "first_position", "source")
+    return every.join(info, every.source.eqNullSafe(info._source), "inner").select("doc_id", "size", "source_size", "target", "taken", "first_position", "source")
 
 
-def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken (a part taken counts if half or more).
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as it is taken, in the schedule's order.
 
-    Only ids and sizes go through the schedule; texts are joined once. Rows that are alike are one row with
-    their repeats added up.
+    Only ids and sizes go through the schedule; texts are joined once and dealt once by position. Rows that are
+    alike in all columns are one row with their repeats added up.
     """
-    keyed = docs.withColumn("_mix", F.xxhash64(*docs.columns))
-    taken = mix(keyed, weights, share, most, keep=("_mix",))
-    times = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5).cast("long")
-    repeats = stage(taken.groupBy("_mix").agg(F.sum(times).alias("_times"), F.count("*").alias("_rows")).where("_times > 0"), "mix-repeats")
-    joined = keyed.join(repeats.hint("merge"), "_mix")
-    row = F.struct(*docs.columns).alias("_row")
-    once = joined.where("_rows = 1").select("_times", row)
-    several = joined.where("_rows > 1").groupBy("_mix", "_times").agg(F.first(F.struct(*docs.columns)).alias("_row")).select("_times", "_row")
-    return once.unionByName(several).select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select("_row.*")
+    keyed = docs.select(row_key(docs).alias("_mix"), "doc_id", "source", "text")
+    slim, _, pieces = taken_pieces(keyed, weights, share, most, block_words, ("_mix",))
+    copies = pieces.groupBy("_mix", "doc_id", "source", "size", "at", "epoch").agg(F.sum("words").alias("words"), F.min("position").alias("position"))
+    copies = stage(copies.where("2 * words >= size").select("_mix", "position"), "mix-copies")
+    alike = stage(slim.where("size > 0").groupBy("_mix").agg(F.count("*").alias("n")).where("n > 1").select("_mix"), "mix-alike")
+    rows = docs.select(row_key(docs).alias("_key"), packed(docs).alias("row"))
+    top = copies.agg(F.max("position")).head()[0] or 0
+    # a row that is alone in its kind has its few positions listed; rows that are alike are one row that meets its many positions by a join
+    few = broadcast_if_small(alike)
+    listed = copies.join(few, "_mix", "left_anti").groupBy("_mix").agg(F.collect_list("position").alias("positions"))
+    mixed = rows.join(listed.hint("merge"), F.col("_key") == F.col("_mix")).select("row", F.explode("positions").alias("position"))
+    if alike.head() is not None:
+        one = rows.join(few, F.col("_key") == F.col("_mix"), "left_semi").groupBy("_key").agg(F.first("row").alias("row"))
+        mixed = mixed.unionByName(one.join(copies.join(few, "_mix", "left_semi").hint("merge"), F.col("_key") == F.col("_mix")).select("row", "position"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = mixed.repartitionById(n, F.floor(F.col("position") * n / (top + 1)).cast("int"))
+    return dealt.sortWithinPartitions("position").select("row.*")

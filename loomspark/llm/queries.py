@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,16 +119,27 @@ f AS (SELECT *, 2 * (caps * weight + cap * later) <= 3 * total * weight AS cappe
 g AS (
   SELECT *, coalesce(sum(CASE WHEN capped THEN cap END) OVER (), 0) AS cut, sum(CASE WHEN NOT capped THEN weight END) OVER () AS free FROM f),
 t AS (
-  SELECT source, source_size,
+  SELECT source, source_size, ordinal,
          CASE WHEN capped THEN CAST(cap AS DOUBLE) ELSE CAST(weight * (3 * total - 2 * cut) AS DOUBLE) / CAST(2 * free AS DOUBLE) END AS target
   FROM g),
 p AS (
   SELECT *, CAST(floor(target) AS BIGINT) // greatest(source_size, 1) AS epochs, CAST(floor(target) AS BIGINT) % greatest(source_size, 1) AS rest FROM t),
 o AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM d)
+  SELECT *, row_number() OVER () AS r, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM d),
+n AS (SELECT *, (source_size + 1023) // 1024 AS blocks, epochs * ((source_size + 1023) // 1024) + (rest + 1023) // 1024 AS slots FROM p),
+z AS (SELECT *, CAST(sum(slots) OVER (ORDER BY ordinal) AS BIGINT) AS hi FROM n),
+b AS (SELECT greatest(1, length(bin(greatest(0, max(hi) - 1)))) AS bits FROM z),
+v AS (SELECT source, source_size, blocks, epochs, rest, unnest(range(hi - slots, hi)) AS v FROM z),
+x AS (SELECT *, CAST(list_sum(list_transform(range(bits), lambda q: ((v >> q) & 1) << (bits - 1 - q))) AS BIGINT) AS position FROM v, b),
+y AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY position)) - 1 AS nth FROM x),
+slot AS (SELECT source, position, nth % blocks AS block, least((nth % blocks + 1) * 1024, CASE WHEN nth // blocks < epochs THEN source_size ELSE rest END) AS upto FROM y),
+first AS (
+  SELECT r, min(position) AS first_position FROM o JOIN slot ON o.source IS NOT DISTINCT FROM slot.source
+  WHERE o.size > 0 AND block * 1024 < o.at + o.size AND (block + 1) * 1024 > o.at AND upto > greatest(o.at, block * 1024)
+  GROUP BY r)
 SELECT o.doc_id, o.size, p.source_size, p.target,
-       CAST(o.size * p.epochs + greatest(0, least(o.at + o.size, p.rest) - o.at) AS BIGINT) AS taken
-FROM o JOIN p ON o.source IS NOT DISTINCT FROM p.source
+       CAST(o.size * p.epochs + greatest(0, least(o.at + o.size, p.rest) - o.at) AS BIGINT) AS taken, f.first_position
+FROM o JOIN p ON o.source IS NOT DISTINCT FROM p.source LEFT JOIN first AS f USING (r)
 """,
     "op3_secret_ownership": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
