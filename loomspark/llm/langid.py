@@ -2,8 +2,8 @@
 
 Each direction is a GRU over the text's UTF-8 bytes; both states at a byte give its label's probabilities.
 The network is trained by backpropagation through time on windows of a bounded, hash-drawn sample of
-labelled texts. To predict, a whole text is cut into windows that run side by side; every byte is labelled,
-and the document's probabilities are the mean over its bytes.
+labelled texts. To predict, a whole text is cut into windows of STEPS bytes that run side by side, each from an empty
+state in both directions; every byte is labelled, and the document's probabilities are the mean over its bytes.
 
 Nulls: a null text, or one without a letter, is `und` with score 0. Null languages are not learned from. If no
 label is known, all texts are `und`. Rows that are alike get the same label. An empty table gives no rows; other
@@ -22,12 +22,11 @@ from pyspark.sql import Window
 
 from ._common import small_batches
 
-#: Texts that are learned from for each language: PER_SLOT for each of SLOTS hash slots, at most.
-SLOTS, PER_SLOT, EXCERPT = 32, 8, 512
-#: Languages that are learned, at most: those with the most labelled texts. It bounds the sample and the network.
-LANGUAGES = 256
+#: The sample: excerpts of EXCERPT characters, at most SLOTS * PER_SLOT of a language and about SAMPLE of all. The more
+#: languages there are, the fewer of each, but every language has some of each slot that has any.
+SLOTS, PER_SLOT, EXCERPT, SAMPLE = 32, 8, 512, 65_536
 HIDDEN, STEPS, EPOCHS, BATCH, RATE = 8, 64, 10, 128, 0.02
-#: Windows that run side by side.
+#: Windows that run side by side for up to 16 languages; with more, fewer windows, as their table of probabilities is bounded.
 SIDE = 4096
 PAD = 256
 
@@ -156,13 +155,13 @@ def held_out(doc_id) -> F.Column:
 def learn(docs: DataFrame) -> Network | None:
     """Train on a bounded sample: of each language the texts with the least hashes in each of SLOTS slots."""
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n"))
-    known = [r.lang for r in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
-    usable = usable.where(F.col("lang").isin(known))
+    n_languages = max(1, usable.select("lang").distinct().count())
+    slots = max(1, min(SLOTS, SAMPLE // n_languages))
+    per_slot = max(1, min(PER_SLOT, SAMPLE // (slots * n_languages)))
     h = F.xxhash64("doc_id", "text")
     first = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - EXCERPT, F.lit(1))).cast("int") + 1
-    slim = usable.select("lang", F.pmod(h, F.lit(SLOTS)).alias("slot"), h.alias("h"), F.substring(F.col("text"), first, F.lit(EXCERPT)).alias("excerpt"))
-    ranked = slim.withColumn("k", F.row_number().over(Window.partitionBy("lang", "slot").orderBy("h", "excerpt"))).where(F.col("k") <= PER_SLOT)
+    slim = usable.select("lang", F.pmod(h, F.lit(slots)).alias("slot"), h.alias("h"), F.substring(F.col("text"), first, F.lit(EXCERPT)).alias("excerpt"))
+    ranked = slim.withColumn("k", F.row_number().over(Window.partitionBy("lang", "slot").orderBy("h", "excerpt"))).where(F.col("k") <= per_slot)
     rows = sorted((r.lang, r.h, r.excerpt) for r in ranked.select("lang", "h", "excerpt").collect())
     labels = sorted({r[0] for r in rows})
     if not labels:
@@ -184,15 +183,16 @@ def pooled(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), [len(w) for w in parts])
     total, votes = np.zeros((2, len(texts), len(net.labels)))
     x = np.concatenate(parts) if parts else np.empty((0, STEPS), np.int16)
-    for i in range(0, len(x), SIDE):
-        w = x[i : i + SIDE].T
+    side = max(16, SIDE * 16 // max(16, len(net.labels)))
+    for i in range(0, len(x), side):
+        w = x[i : i + side].T
         p = net.probabilities(w)
         real = w != PAD
         p *= real[..., None]
         top = p == p.max(axis=-1, keepdims=True)
         top &= real[..., None]
-        np.add.at(total, owner[i : i + SIDE], p.sum(axis=0))
-        np.add.at(votes, owner[i : i + SIDE], top.sum(axis=0))
+        np.add.at(total, owner[i : i + side], p.sum(axis=0))
+        np.add.at(votes, owner[i : i + side], top.sum(axis=0))
     return total / np.maximum(1, np.array([len(t) for t in texts]))[:, None], votes
 
 

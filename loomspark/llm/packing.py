@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from ._common import running_total, small_batches, stage
 
 CAPACITY, END = 2048, 0
-#: Bounds of the search on the driver; they bound its time, and never drop a piece.
+#: Bounds of the search on the driver; they bound its time, and never drop a piece. None: no bound, the search is exact.
 FILLINGS, NODES = 24, 3000
-MARK = "<|endoftext|>"
+PROBE = ["It's  1 probe,\n\n with été — and\ttabs 123\x00!", "", "<|endoftext|>", "日本語 кириллица \U0001f600\u200d", "  \r\n \xa0 x1y22zzz 'S'Ll", "a" * 300]
 
 _encoders: dict[str, object] = {}
 
@@ -40,8 +40,9 @@ def default_vocabulary() -> str:
 def encoder(vocabulary: str):
     """A function from texts to lists of ids for a byte-level BPE in the tokenizers format.
 
-    tiktoken runs the same merges several times faster; texts with the special string, and files with
-    other settings than plain byte-level BPE, go to the tokenizers library itself.
+    tiktoken runs the same merges several times faster; texts with the special string, and all texts where tiktoken
+    isn't installed or the file is no plain byte-level BPE, go to the tokenizers library itself. A probe of texts
+    of all kinds must give the same ids, else this raises.
     """
     if vocabulary in _encoders:
         return _encoders[vocabulary]
@@ -57,19 +58,19 @@ def encoder(vocabulary: str):
         visible = sorted(ByteLevel.alphabet())
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]  # bytes that stand for themselves
         table = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-        assert sorted(table) == visible
+        if sorted(table) != visible:
+            raise KeyError("another alphabet of bytes")
         special = {t.content for t in plain.get_added_tokens_decoder().values()}
         ranks = {bytes(table[c] for c in token): i for token, i in plain.get_vocab().items() if token not in special}
         fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        probe = ["It's  1 probe,\n\n with été — and\ttabs 123\x00!", ""]
-        assert [fast.encode_ordinary(x) for x in probe] == slow(probe)
-
         def encode(texts: list[str]) -> list[list[int]]:
             return [slow([x])[0] if any(s in x for s in special) else fast.encode_ordinary(x) for x in texts]
 
-        _encoders[vocabulary] = encode
-    except (ImportError, AssertionError, KeyError):
-        _encoders[vocabulary] = slow
+    except (ImportError, KeyError):  # a token that isn't made of byte characters: no plain byte-level BPE
+        encode = slow
+    if encode(PROBE) != slow(PROBE):
+        raise RuntimeError(f"tiktoken and tokenizers differ on {vocabulary}")
+    _encoders[vocabulary] = encode
     return _encoders[vocabulary]
 
 
@@ -131,7 +132,7 @@ def _dominated(filling: tuple[int, ...], lengths: list[int], left: dict[int, int
     return False
 
 
-def fillings(lengths: list[int], left: dict[int, int], room: int, most: int = FILLINGS) -> list[tuple[int, ...]]:
+def fillings(lengths: list[int], left: dict[int, int], room: int, most: int | None = FILLINGS) -> list[tuple[int, ...]]:
     """Undominated fillings, fullest first. One piece that fills the room dominates all others."""
     if left.get(room):
         return [(room,)]
@@ -144,7 +145,7 @@ def fillings(lengths: list[int], left: dict[int, int], room: int, most: int = FI
             found.append(filling)
             if sum(filling) == room:
                 break
-        if len(found) >= most or tried >= 40 * most:
+        if most is not None and (len(found) >= most or tried >= 40 * most):
             break
     return sorted(found, key=lambda f: (-sum(f), len(f), f)) or [()]
 
@@ -186,12 +187,13 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return [(p, n) for groups in bins.values() for p, n in groups]
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
+def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = NODES, most: int | None = FILLINGS) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (pieces that share a sequence) and their multiplicities, as few sequences as it finds.
 
     Depth first: the largest piece is completed by each undominated filling in turn. A branch ends when its
     waste reaches what the best solution so far may waste. The search stops at the lower bound or after
-    `nodes` branchings beyond the first dive; the best solution found stands.
+    `nodes` branchings beyond the first dive; the best solution found stands. With nodes and most None the search is
+    exact for plans that use a pattern as often as its counts allow.
     """
     total = sum(x * n for x, n in counts.items())
     bound, best = -(-total // capacity), best_fit(counts, capacity)
@@ -205,7 +207,7 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     def options() -> Iterator[tuple[int, ...]]:
         top = lengths[-1]
         left[top] -= 1
-        found = fillings(lengths, left, capacity - top)
+        found = fillings(lengths, left, capacity - top, most)
         left[top] += 1
         return iter([(top, *f) for f in found])
 
@@ -221,8 +223,9 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     choices, dive = options(), True
     while True:
         pattern = next(choices, None)
-        if pattern is None or visited > nodes:
-            if not path or visited > nodes:
+        spent_all = nodes is not None and visited > nodes
+        if pattern is None or spent_all:
+            if not path or spent_all:
                 return best
             pattern, n, choices = path.pop()
             change(pattern, n)
@@ -245,12 +248,15 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
             choices = options()
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """The pieces with sequence_id and offset. No sequence is longer than capacity and none has gaps."""
+def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, nodes: int | None = NODES, most: int | None = FILLINGS) -> DataFrame:
+    """The pieces with sequence_id and offset. No sequence is longer than capacity and none has gaps.
+
+    nodes and most bound the search (see complete); where best-fit decreasing meets the lower bound there is none.
+    """
     cuts = stage(pieces(docs, vocabulary, capacity), "pieces")
     counts = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # one row for each length, capacity at most
     plan = [((capacity,), counts[capacity])] if capacity in counts else []
-    plan += complete({x: n for x, n in counts.items() if x != capacity}, capacity)
+    plan += complete({x: n for x, n in counts.items() if x != capacity}, capacity, nodes, most)
     places: list[tuple[int, int, int, int, int]] = []  # length, first rank, first sequence, pieces in a sequence, offset
     taken, sequence = dict.fromkeys(counts, 0), 0
     for pattern, n in plan:
