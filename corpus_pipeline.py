@@ -1,16 +1,20 @@
 """The corpus pipeline: quality rules, line dedup, near-duplicate removal, source mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; what a stage
-returns is written as Parquet and read again. All but the last return the columns of documents.
+returns is written as Parquet and read again. All but the last return the columns of documents. An empty table
+gives no rows. Texts that are null, empty or short fail the quality rules; stages after it keep them if they get any,
+but the mix takes none without words. Rows that are alike are treated alike, but for near dedup, which keeps one.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.llm import linededup, minhash, mixing, packing, quality
-from loomspark.llm._common import stage
+from loomspark.llm._common import delete, scratch, shared_dir, staged_at
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages; of the folders written only that of the result stays."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (_, function) in enumerate(STAGES):
-        docs = stage(function(spark, docs, sf_dir), f"stage-{i}")
+        last, folder = folder, f"{shared_dir(spark)}/pipeline-{i}-{uuid.uuid4().hex}"
+        with scratch(spark):
+            docs = staged_at(function(spark, docs, sf_dir), folder)
+        if last:
+            delete(spark, last)
     return docs
