@@ -434,9 +434,14 @@ def endpoint_id_hash(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", X.endpoint_id(F.col("s_name"), F.lit("GET"), path).alias("endpoint_id"))
 
 
-@query("SELECT c_custkey, lower(regexp_replace(regexp_replace(c_name, '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '[#_\\-]+', ' ', 'g')) AS human FROM customer".replace("\\\\", "\\"))
+_SPOKEN = r"""SELECT c_custkey, ['search', '/v1-list', 'lookup_', 'license_plate_lookup-', 'getFor2Hotels', 'SearchAll', 'research-'][c_custkey % 7 + 1] || replace(c_name, '#', '_') AS name FROM customer"""
+
+
+@query(rf"""SELECT c_custkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(lower(replace(replace(regexp_replace(name, '([a-z])([A-Z])', '\1 \2', 'g'), '_', ' '), '-', ' '))), '^/+', ''), '\bsearch\b', 'search for', 'g'), '\blookup\b', 'look up', 'g'), '\s+', ' ', 'g')) AS human FROM ({_SPOKEN})""")
 def humanize(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey", X.humanize(F.regexp_replace("c_name", "#", "_")).alias("human"))
+    starts = F.array(*[F.lit(x) for x in ("search", "/v1-list", "lookup_", "license_plate_lookup-", "getFor2Hotels", "SearchAll", "research-")])
+    name = F.concat(F.element_at(starts, (F.col("c_custkey") % 7 + 1).cast("int")), F.regexp_replace("c_name", "#", "_"))
+    return table(spark, sf, "customer").select("c_custkey", X.humanize(name).alias("human"))
 
 
 @query("SELECT p_partkey, length(trim(p_name)) >= 10 AND lower(trim(p_name)) <> lower(trim(p_brand)) AND regexp_replace(lower(trim(p_name)), '^(the|a|an|this)\\s+', '') <> lower(trim(p_brand)) AS meaningful FROM part")

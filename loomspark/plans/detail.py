@@ -151,11 +151,12 @@ def call_order(spark, sf):
     return T.order_errors(_calls(spark, sf))
 
 
+#: A conversation with 1, 4, 7... messages stands for one whose metadata counts grounded arguments.
 _RUBRIC = f"""{_CALLS}, b AS (SELECT *, role = 'assistant' AND coalesce(n_calls, 0) > 0 AS calls FROM c),
 w AS (SELECT DISTINCT conv, pos, role, calls, unnest(string_split(text, ' ')) AS value FROM b),
 g AS (SELECT a.conv, count(DISTINCT a.pos) AS grounded FROM w a WHERE a.calls AND EXISTS (SELECT 1 FROM w o WHERE o.conv = a.conv AND o.role = 'tool' AND o.value = a.value AND o.pos < a.pos) GROUP BY a.conv),
 p AS (SELECT conv, count(*) FILTER (WHERE calls) AS k, count(DISTINCT CASE WHEN calls THEN length(text) % 2 END) AS tools, count(*) AS n, arg_max(role = 'assistant' AND NOT calls, pos) AS closed, arg_min(role, pos) AS f, count(*) FILTER (WHERE role = 'user') AS u, count(*) FILTER (WHERE role = 'assistant' AND contains(text, '?') AND NOT calls) AS q FROM b GROUP BY conv),
-r AS (SELECT p.conv, CAST(least(5, 3 + (k >= 2)::INT + (tools >= 2)::INT) AS INTEGER) AS tool_correctness, CAST(least(5, 2 + coalesce(grounded, 0)) AS INTEGER) AS argument_grounding,
+r AS (SELECT p.conv, CAST(least(5, 3 + (k >= 2)::INT + (tools >= 2)::INT) AS INTEGER) AS tool_correctness, CAST(least(5, 2 + coalesce(grounded, 0) + (n % 3 = 1)::INT) AS INTEGER) AS argument_grounding,
  CAST(3 + closed::INT + (n >= 3)::INT AS INTEGER) AS task_completion, CAST(2 + (f = 'user')::INT + (u > 1)::INT + (q > 0)::INT AS INTEGER) AS naturalness FROM p LEFT JOIN g ON g.conv = p.conv)"""
 
 
