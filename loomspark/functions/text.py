@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -61,9 +62,17 @@ def function_name(c: Column) -> Column:
     return F.regexp_replace(c, r"[^a-zA-Z0-9_-]", "_")
 
 
+#: Words that are said otherwise.
+SAID = {"search": "search for", "lookup": "look up"}
+
+
 def humanize(c: Column) -> Column:
-    spaced = F.regexp_replace(F.regexp_replace(c, "^/+", ""), r"([a-z0-9])([A-Z])", "$1 $2")
-    return collapse(F.lower(F.regexp_replace(spaced, r"[_\-]+", " ")))
+    """A name in plain words: split before capitals and at _ and -, lower case, no leading slashes."""
+    spaced = F.regexp_replace(F.regexp_replace(c, r"([a-z])([A-Z])", "$1 $2"), r"[_\-]", " ")
+    out = F.regexp_replace(F.trim(F.lower(spaced)), "^/+", "")
+    for word, said in SAID.items():
+        out = F.regexp_replace(out, rf"\b{word}\b", said)
+    return collapse(out)
 
 
 def without_article(c: Column) -> Column:
@@ -81,37 +90,59 @@ def vowel_share(c: Column) -> Column:
     return (F.length(letters) - F.length(F.regexp_replace(letters, "[aeiou]", ""))) / F.greatest(F.length(letters), F.lit(1))
 
 
+#: Verbs that are names though short; marks of names, characters of code and words of API documents that can't be shown.
+SHORT_VERBS = "get set add run put".split()
+BAD_MARKS = r"602917ac|version 2|copy|\.\.\."
+CODE, JARGON = r"[{}\"\\=<>]|//", r"api|endpoint|http|json|parameter|request|response|returns|\.\.\.|base64|png"
+#: What is said of a step whose name can't be shown, by whether it has a domain and its tool's name can be shown.
+STEP_TEXTS = {(True, False): "look up {domain} information", (True, True): "use {tool} for {domain} data", (False, True): "get data from {tool}", (False, False): "look up some information"}
+
+
 def garbage_name(c: Column) -> Column:
     """Too short (but for five verbs), one long run, a path, hardly a vowel, or with a fixed mark."""
     text = F.lower(F.trim(c))
-    short = (F.length(text) < 4) & ~text.isin("get", "set", "add", "run", "put")
+    short = (F.length(text) < 4) & ~text.isin(SHORT_VERBS)
     run = (F.length(text) > 25) & ~text.rlike("[ _-]")
-    return short | run | text.startswith("/") | text.contains("//") | ((F.length(text) > 4) & (vowel_share(text) < 0.15)) | text.rlike(r"602917ac|version 2|copy|\.\.\.")
+    return short | run | text.startswith("/") | text.contains("//") | ((F.length(text) > 4) & (vowel_share(text) < 0.15)) | text.rlike(BAD_MARKS)
 
 
 def clean_description(c: Column) -> Column:
     """Whether a description can be shown: 5 to 100 characters, no code, no words of API documents; 60 at most after an article."""
-    code = c.rlike(r"[{}\"\\=<>]|//")
-    jargon = F.lower(c).rlike(r"api|endpoint|http|json|parameter|request|response|returns|\.\.\.|base64|png")
     led = F.trim(c).rlike("^(The|A|An|This) ") & (F.length(c) > 60)
-    return F.coalesce((F.length(c) >= 5) & (F.length(c) <= 100) & ~code & ~jargon & ~led, F.lit(False))
+    return F.coalesce((F.length(c) >= 5) & (F.length(c) <= 100) & ~c.rlike(CODE) & ~F.lower(c).rlike(JARGON) & ~led, F.lit(False))
+
+
+def _filled(template: str, **values: Column) -> Column:
+    """A template with its {names} filled, as an expression."""
+    return F.concat(*[values[part[1:-1]] if part.startswith("{") else F.lit(part) for part in re.split(r"(\{\w+\})", template) if part])
 
 
 def describe_step(name: Column, tool: Column, domain: Column, description: Column) -> Column:
     """What a step does, in plain words: its description if clean and short, else from the names that can be shown."""
     said = F.lower(F.rtrim(F.trim(description), F.lit(".")))
     own, of, field = humanize(name), humanize(tool), F.replace(F.lower(domain), F.lit("_"), F.lit(" "))
-    has_field = F.coalesce(domain, F.lit("")) != ""
+    placed, shown = F.coalesce(domain, F.lit("")) != "", ~garbage_name(tool)
     named = F.exists(F.filter(F.split(of, " "), lambda w: F.length(w) > 3), lambda w: own.contains(w))
-    return (
-        F.when(clean_description(description) & (F.length(said) < 50), said)
-        .when(garbage_name(name) & has_field & garbage_name(tool), F.concat(F.lit("look up "), field, F.lit(" information")))
-        .when(garbage_name(name) & has_field, F.concat(F.lit("use "), of, F.lit(" for "), field, F.lit(" data")))
-        .when(garbage_name(name) & ~garbage_name(tool), F.concat(F.lit("get data from "), of))
-        .when(garbage_name(name), F.lit("look up some information"))
-        .when(garbage_name(tool) | named, own)
-        .otherwise(F.concat(F.lit("use "), of, F.lit(" to "), own))
-    )
+    vague = F.coalesce(*[F.when((placed == has) & (shown == clear), _filled(text, tool=of, domain=field)) for (has, clear), text in STEP_TEXTS.items()])
+    plain = F.when(~shown | named, own).otherwise(_filled("use {tool} to {own}", tool=of, own=own))
+    return F.when(clean_description(description) & (F.length(said) < 50), said).when(garbage_name(name), vague).otherwise(plain)
+
+
+#: How steps are joined to a task.
+TASKS = {0: "help me with a task", 2: "{first} and then {last}", 3: "{first}, then {middle}, and finally {last}", 5: "{first}, then {second}, and a couple more things after that"}
+
+
+def task(steps: Column, brief: Column) -> Column:
+    """steps(tool, text) of a chain as one request; after two, a step of a tool that was there is left out; brief sums up five or more."""
+    kept = F.aggregate(
+        steps, F.struct(F.array().cast("array<string>").alias("tools"), F.array().cast("array<string>").alias("texts")),
+        lambda s, x: F.when((F.size(s["texts"]) >= 2) & F.array_contains(s["tools"], x["tool"]), s).otherwise(F.struct(F.array_append(s["tools"], x["tool"]).alias("tools"), F.array_append(s["texts"], x["text"]).alias("texts"))),
+        lambda s: s["texts"],
+    )
+    n = F.size(kept)
+    parts = {"first": F.get(kept, F.lit(0)), "second": F.get(kept, F.lit(1)), "last": F.get(kept, n - 1), "middle": F.array_join(F.slice(kept, F.lit(2), F.greatest(n - 2, F.lit(0))), ", then ")}
+    said = {k: _filled(v, **parts) for k, v in TASKS.items()}
+    return F.when(n == 0, said[0]).when(n == 1, parts["first"]).when(n == 2, said[2]).when((n > 4) & brief, said[5]).otherwise(said[3])
 
 
 def path_of(url: Column) -> Column:
@@ -143,7 +174,7 @@ def endpoint_id(tool: Column, method: Column, path: Column) -> Column:
 
 
 def parameter_type(c: Column) -> Column:
-    out, text = F.lit("unknown"), F.lower(F.trim(c))
+    out, text = F.lit("unknown"), F.lower(F.trim(c.cast("string")))
     for kind, names in TYPES.items():
         out = F.when(text.isin(names.split()), kind).otherwise(out)
     return out
@@ -205,3 +236,26 @@ def graph_tier(score: Column) -> Column:
 def pattern_hash(tools: Column) -> Column:
     """Of a chain's distinct tools, whatever their order."""
     return F.substring(F.sha2(F.array_join(F.array_sort(tools.cast("array<string>")), ",").cast("binary"), 256), 1, 16)
+
+
+def endpoint_text(name: Column, description: Column, tool: Column, method: Column, path: Column, parameters: Column) -> Column:
+    """What is embedded of an endpoint; an empty description or list of parameters is left out."""
+    part = lambda label, c: F.concat(F.lit(label), c, F.lit("."))
+    listed = F.when(F.size(parameters) > 0, part("Parameters: ", F.array_join(parameters, ", ")))
+    return collapse(F.concat_ws(" ", part("", name), F.nullif(description, F.lit("")), part("Tool: ", tool), part("Method: ", method), part("Path: ", path), listed))
+
+
+def chain_text(steps: Column) -> Column:
+    """steps(run, text) in order, joined by arrows; steps of one run stand in brackets, by commas."""
+    runs = F.array_distinct(F.transform(steps, lambda x: x["run"]))
+
+    def shown(run: Column) -> Column:
+        mine = F.transform(F.filter(steps, lambda x: x["run"] == run), lambda x: x["text"])
+        return F.when(F.size(mine) > 1, F.concat(F.lit("["), F.array_join(mine, ", "), F.lit("]"))).otherwise(F.get(mine, F.lit(0)))
+
+    return F.when(F.size(steps) > 0, F.array_join(F.transform(runs, shown), " -> ")).otherwise("(empty chain)")
+
+
+def file_size(n: int) -> str:
+    """Bytes as B, KB or MB."""
+    return f"{n / 2**20:.1f} MB" if n >= 2**20 else f"{n / 2**10:.1f} KB" if n >= 2**10 else f"{n} B"

@@ -44,8 +44,11 @@ def grounded_messages(arguments: DataFrame, outputs: DataFrame) -> DataFrame:
     return arguments.join(first, ["conv", "value"]).where("first < pos").groupBy("conv").agg(F.countDistinct("pos").alias("grounded"))
 
 
-def rubric(messages: DataFrame, grounded: DataFrame) -> DataFrame:
-    """The four rule-based scores, each from 1 to 5, for messages(conv, pos, role, text, tools array; null or empty: no calls)."""
+def rubric(messages: DataFrame, grounded: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """The four rule-based scores, each from 1 to 5, for messages(conv, pos, role, text, tools array; null or empty: no calls).
+
+    stats(conv, grounded_args) is what the conversations' metadata counts; more than none gives a point.
+    """
     point = lambda c: F.when(c, 1).otherwise(0)
     clamp = lambda c: F.greatest(F.lit(1), F.least(F.lit(5), c)).cast("int")
     calls = (F.col("role") == "assistant") & (F.size(F.coalesce("tools", F.array().cast("array<string>"))) > 0)
@@ -53,6 +56,9 @@ def rubric(messages: DataFrame, grounded: DataFrame) -> DataFrame:
     tools = F.size(F.array_distinct(F.flatten(F.collect_list(F.when(calls, F.col("tools"))))))
     per = messages.groupBy("conv").agg(F.count_if(calls).alias("calls"), tools.alias("tools"), F.count("*").alias("n"), F.max_by(F.struct("role", calls.alias("calls")), "pos").alias("last"), F.min_by("role", "pos").alias("first"), F.count_if(F.col("role") == "user").alias("users"), F.count_if(asks).alias("asks"))
     per = per.join(grounded, "conv", "left").withColumn("grounded", F.coalesce("grounded", F.lit(0)))
+    if stats is not None:
+        more = stats.groupBy("conv").agg(F.max(F.col("grounded_args") > 0).alias("counted"))
+        per = per.join(more, "conv", "left").withColumn("grounded", F.col("grounded") + point(F.coalesce("counted", F.lit(False))))
     closed = (F.col("last.role") == "assistant") & ~F.col("last.calls")
     scores: dict[str, Column] = {
         "tool_correctness": 3 + point(F.col("calls") >= 2) + point(F.col("tools") >= 2),

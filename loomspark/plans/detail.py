@@ -165,7 +165,8 @@ def _rubric(spark, sf):
     words = c.select("conv", "pos", "role", "n_calls", F.explode(F.split("text", " ")).alias("value"))
     grounded = T.grounded_messages(words.where("role = 'assistant' AND n_calls > 0").select("conv", "pos", "value"), words.where("role = 'tool'").select("conv", "pos", "value"))
     tools = F.when(F.col("n_calls") > 0, F.array((F.length("text") % 2).cast("string")))
-    return T.rubric(c.withColumn("tools", tools), grounded)
+    stats = c.groupBy("conv").agg((F.count("*") % 3 == 1).cast("int").alias("grounded_args"))
+    return T.rubric(c.withColumn("tools", tools), grounded, stats)
 
 
 @query(f"WITH {_RUBRIC} SELECT *, (tool_correctness + argument_grounding + task_completion + naturalness) / 4.0 AS average FROM r".replace("/ 4.0", "/ CAST(4 AS DOUBLE)"))
