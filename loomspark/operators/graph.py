@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,10 +33,69 @@ def same_domain_edges(nodes: DataFrame) -> DataFrame:
     return a.join(b, "domain").where("src < dst").select("src", "dst", ((F.col("wa") + F.col("wb")) / 2).alias("weight"))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
-    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(norm == 0, 0.0).otherwise(dot(a, b) / norm)
+def _tier_order(nodes: DataFrame, k: int) -> DataFrame:
+    """The k + 1 best nodes of each domain, by tier and then id, with their rank r."""
+    w = Window.partitionBy("domain").orderBy(F.desc(tier_weight(F.col("tier"))), "node")
+    return nodes.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1)
+
+
+def same_domain_pruned(nodes: DataFrame, k: int) -> DataFrame:
+    """What prune(same_domain_edges(nodes), k) gives, without making all pairs of a domain.
+
+    A weight depends on the two tiers only, so a node's k best neighbours are the first of its domain by tier and
+    id; edges that are among the k best of both ends lie between a domain's k + 1 first nodes.
+    """
+    best = _tier_order(nodes, k)
+    side = lambda name: best.select(F.col("node").alias(name), "domain", F.col("r").alias(f"{name}_r"), tier_weight(F.col("tier")).alias(f"{name}_w"))
+    pairs = side("src").join(side("dst"), "domain").where("src < dst")
+    rank = lambda own, other: F.col(f"{other}_r") - (F.col(f"{own}_r") < F.col(f"{other}_r")).cast("int")
+    kept = pairs.where((rank("src", "dst") <= k) & (rank("dst", "src") <= k))
+    return kept.select("src", "dst", ((F.col("src_w") + F.col("dst_w")) / 2).alias("weight"))
+
+
+def same_domain_stats(nodes: DataFrame) -> DataFrame:
+    """What stats(nodes, same_domain_edges(nodes)) gives, from the counts of each domain: every node has a share in n - 1 edges."""
+    per = nodes.groupBy("domain").agg(F.count("*").alias("n"), F.sum(tier_weight(F.col("tier"))).alias("w"))
+    pairs = F.when(F.col("domain").isNotNull(), F.col("n") * (F.col("n") - 1) / 2)
+    out = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_nodes"), F.coalesce(F.sum(pairs), F.lit(0)).cast("long").alias("n_edges"), F.sum(F.when(F.col("domain").isNotNull(), F.col("w") * (F.col("n") - 1) / 2)).alias("w"))
+    out = out.select("n_nodes", "n_edges", F.when(F.col("n_edges") > 0, F.col("w") / F.col("n_edges")).alias("mean_weight"))
+    return out.withColumn("density", F.col("n_edges") / F.greatest(F.col("n_nodes") * (F.col("n_nodes") - 1), F.lit(1)))
+
+
+def same_domain_stars(nodes: DataFrame) -> DataFrame:
+    """An edge from the least node of each domain to each other one: as connected as all pairs of the domain."""
+    least = nodes.where("domain IS NOT NULL").groupBy("domain").agg(F.min("node").alias("src"))
+    return nodes.join(least, "domain").where("src < node").select("src", F.col("node").alias("dst"))
+
+
+def endpoints_of(edges: DataFrame, tools: DataFrame) -> DataFrame:
+    """tools(node): node, endpoints, the sorted endpoints that it owns (empty: none)."""
+    own = edges.where("edge_type = 'same_tool'").groupBy(F.col("src").alias("node")).agg(F.array_sort(F.collect_set("dst")).alias("endpoints"))
+    return tools.join(own, "node", "left").withColumn("endpoints", F.coalesce("endpoints", F.array().cast(own.schema["endpoints"].dataType)))
+
+
+def tool_of(edges: DataFrame, endpoints: DataFrame) -> DataFrame:
+    """endpoints(node): node, tool that owns it (the least, null: none)."""
+    own = edges.where("edge_type = 'same_tool'").groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("tool"))
+    return endpoints.join(own, "node", "left")
+
+
+def endpoints_in(nodes: DataFrame, domain) -> DataFrame:
+    """The endpoint nodes of a domain, sorted."""
+    return nodes.where((F.col("node_type") == "endpoint") & (F.col("domain") == domain)).select("node").orderBy("node")
+
+
+def embedded(texts: DataFrame, key: str, dims: int = 64) -> DataFrame:
+    """key, embedding of texts(key, text): words hashed to dims signed counts, as a unit vector (zero without words).
+
+    A stand-in for a language model, which isn't part of this engine: shared words make texts near.
+    """
+    words = F.filter(F.split(F.lower(F.col("text")), r"\W+"), lambda w: w != "")
+    each = texts.select(key, F.explode_outer(words).alias("w")).select(key, F.pmod(F.xxhash64("w"), F.lit(dims)).cast("int").alias("i"), F.when(F.xxhash64("w", F.lit(1)) % 2 == 0, 1.0).otherwise(-1.0).alias("v"), F.col("w").isNotNull().alias("has"))
+    sums = each.groupBy(key, "i").agg(F.sum(F.when(F.col("has"), F.col("v"))).alias("v")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
+    raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
+    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x * x))
+    return sums.withColumn("raw", raw).withColumn("norm", norm).select(key, F.transform("raw", lambda x: F.when(F.col("norm") > 0, x / F.col("norm")).otherwise(x)).alias("embedding"))
 
 
 def semantic_edges(vectors: DataFrame, least: float, block: int = 1024) -> DataFrame:
@@ -141,10 +202,13 @@ def prune_by_degree(edges: DataFrame, most: int = 50, protected: str = "same_too
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, where a shared checkpoint folder is set; a local run without one keeps it in memory."""
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df.persist()
+    """df with its lineage cut, in the shared checkpoint folder; a local run without one has a folder of its own."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomspark-"))
+    return df.checkpoint()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -59,6 +59,10 @@ def edges(spark, sf):
     return G.same_domain_edges(nodes(spark, sf))
 
 
+def pruned(spark, sf, k):
+    return G.same_domain_pruned(nodes(spark, sf), k)
+
+
 def steps(spark, sf):
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("chain"), F.row_number().over(order).alias("step"), F.col("l_suppkey").alias("tool"))
@@ -171,8 +175,8 @@ def top_issues(spark, sf):
 
 @query("SELECT p_brand, p_type, count(*) AS n, avg(p_size) AS mean_size FROM part GROUP BY GROUPING SETS ((p_brand), (p_type), ())")
 def registry_stats(spark, sf):
-    table(spark, sf, "part").createOrReplaceTempView("_registry_part")
-    return spark.sql("SELECT p_brand, p_type, count(*) AS n, avg(p_size) AS mean_size FROM _registry_part GROUP BY GROUPING SETS ((p_brand), (p_type), ())")
+    sets = [[F.col("p_brand")], [F.col("p_type")], []]
+    return table(spark, sf, "part").groupingSets(sets, "p_brand", "p_type").agg(F.count("*").alias("n"), F.avg("p_size").alias("mean_size"))
 
 
 @query("SELECT r_name, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
@@ -207,12 +211,12 @@ p AS (SELECT src, dst, weight FROM y WHERE r <= 3 GROUP BY src, dst, weight HAVI
 
 @query(f"WITH {_PRUNED} SELECT * FROM p")
 def edge_prune_topk(spark, sf):
-    return G.prune(edges(spark, sf), 3)
+    return pruned(spark, sf, 3)
 
 
 @query(f"WITH {_PRUNED}, b AS (SELECT src AS node, dst AS neighbour, weight FROM p UNION ALL SELECT dst, src, weight FROM p) SELECT node, neighbour, max(weight) AS weight FROM b GROUP BY ALL")
 def chainable(spark, sf):
-    return G.neighbours(G.prune(edges(spark, sf), 3))
+    return G.neighbours(pruned(spark, sf, 3))
 
 
 @query(f"""WITH {_PRUNED}, b AS (SELECT src, dst FROM p UNION SELECT dst, src FROM p),
@@ -220,19 +224,19 @@ h1 AS (SELECT src AS origin, dst AS node FROM b WHERE src <= 20),
 h2 AS (SELECT DISTINCT h1.origin, b.dst AS node FROM h1 JOIN b ON h1.node = b.src WHERE b.dst <> h1.origin AND NOT EXISTS (SELECT 1 FROM h1 z WHERE z.origin = h1.origin AND z.node = b.dst))
 SELECT origin, node, 1 AS hops FROM h1 UNION ALL SELECT origin, node, 2 FROM h2""")
 def khop(spark, sf):
-    return G.k_hop(G.prune(edges(spark, sf), 3), table(spark, sf, "supplier").where("s_suppkey <= 20").select(F.col("s_suppkey").alias("origin")), 2)
+    return G.k_hop(pruned(spark, sf, 3), table(spark, sf, "supplier").where("s_suppkey <= 20").select(F.col("s_suppkey").alias("origin")), 2)
 
 
 @query(f"""WITH {_PRUNED}, h1 AS (SELECT src AS origin, dst AS node FROM p UNION SELECT dst, src FROM p),
 h2 AS (SELECT DISTINCT a.origin, b.node FROM h1 a JOIN h1 b ON a.node = b.origin WHERE b.node <> a.origin AND (a.origin, b.node) NOT IN (SELECT (origin, node) FROM h1))
 SELECT origin, node, 1 AS hops FROM h1 UNION ALL SELECT origin, node, 2 FROM h2""")
 def khop_all(spark, sf):
-    return G.k_hop(G.prune(edges(spark, sf), 3), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("origin")), 2)
+    return G.k_hop(pruned(spark, sf, 3), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("origin")), 2)
 
 
 @query(f"WITH {_EDGES} SELECT (SELECT count(*) FROM n) AS n_nodes, count(*) AS n_edges, round(avg(weight), 9) AS mean_weight, round(CAST(count(*) AS DOUBLE) / ((SELECT count(*) FROM n) * ((SELECT count(*) FROM n) - 1)), 9) AS density FROM e")
 def graph_stats(spark, sf):
-    return G.stats(nodes(spark, sf), edges(spark, sf)).withColumns({"mean_weight": F.round("mean_weight", 9), "density": F.round("density", 9)})
+    return G.same_domain_stats(nodes(spark, sf)).withColumns({"mean_weight": F.round("mean_weight", 9), "density": F.round("density", 9)})
 
 
 @query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)
@@ -244,7 +248,7 @@ def semantic_edges(spark, sf):
 
 @query()
 def node_importance(spark, sf):
-    return G.page_rank(G.prune(edges(spark, sf), 3)).withColumn("rank", F.round("rank", 6))
+    return G.page_rank(pruned(spark, sf, 3)).withColumn("rank", F.round("rank", 6))
 
 
 # ---- sampling and generation: their own design, so no SQL
@@ -252,7 +256,7 @@ def node_importance(spark, sf):
 
 @query()
 def sampled_chains(spark, sf):
-    return S.sample_chains(spark, G.prune(edges(spark, sf), 5), nodes(spark, sf), 200)
+    return S.sample_chains(spark, pruned(spark, sf, 5), nodes(spark, sf), 200)
 
 
 @query()

@@ -206,7 +206,7 @@ def edge_prune_degree(spark, sf):
 
 @query(f"WITH {_EDGES} SELECT n.node, coalesce(min(m.node), n.node) AS component FROM n LEFT JOIN n m ON m.domain = n.domain GROUP BY n.node")
 def graph_components(spark, sf):
-    return G.components(nodes(spark, sf).select("node"), edges(spark, sf))
+    return G.components(nodes(spark, sf).select("node"), G.same_domain_stars(nodes(spark, sf)))
 
 
 def _chain_steps(spark, sf):
