@@ -122,8 +122,8 @@ def unused_parts_except(spark, sf):
 @query("SELECT coalesce(a.k, b.k) AS key, a.v AS a, b.v AS b FROM (SELECT n_name AS k, n_regionkey AS v FROM nation) a FULL JOIN (SELECT CASE WHEN n_nationkey % 5 = 0 THEN n_name || '_new' ELSE n_name END AS k, n_regionkey + (n_nationkey % 2) AS v FROM nation) b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
 def config_difference(spark, sf):
     n = table(spark, sf, "nation")
-    a = n.where("n_nationkey < 15").select(F.col("n_name").alias("key"), F.col("n_regionkey").alias("value"))
-    b = n.where("n_nationkey > 5").select(F.col("n_name").alias("key"), (F.col("n_regionkey") + F.col("n_nationkey") % 2).alias("value"))
+    a = n.select(F.col("n_name").alias("key"), F.col("n_regionkey").alias("value"))
+    b = n.select(F.when(F.col("n_nationkey") % 5 == 0, F.concat("n_name", F.lit("_new"))).otherwise(F.col("n_name")).alias("key"), (F.col("n_regionkey") + F.col("n_nationkey") % 2).alias("value"))
     return R.config_diff(a, b)
 
 
@@ -224,7 +224,7 @@ h1 AS (SELECT src AS origin, dst AS node FROM b),
 h2 AS (SELECT DISTINCT h1.origin, b.dst AS node FROM h1 JOIN b ON h1.node = b.src WHERE b.dst <> h1.origin AND NOT EXISTS (SELECT 1 FROM h1 z WHERE z.origin = h1.origin AND z.node = b.dst))
 SELECT origin, node, 1 AS hops FROM h1 UNION ALL SELECT origin, node, 2 FROM h2""")
 def khop(spark, sf):
-    return G.k_hop(pruned(spark, sf, 3), table(spark, sf, "supplier").where("s_suppkey <= 20").select(F.col("s_suppkey").alias("origin")), 2)
+    return G.k_hop(pruned(spark, sf, 3), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("origin")), 2)
 
 
 @query(f"""WITH {_PRUNED}, h1 AS (SELECT src AS origin, dst AS node FROM p UNION SELECT dst, src FROM p),
@@ -256,7 +256,7 @@ def node_importance(spark, sf):
 
 @query()
 def sampled_chains(spark, sf):
-    return S.sample_chains(spark, pruned(spark, sf, 5), nodes(spark, sf), 200)
+    return S.sample_chains(spark, pruned(spark, sf, 5), nodes(spark, sf), 2 * nodes(spark, sf).count())
 
 
 @query()
