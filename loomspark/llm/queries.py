@@ -213,9 +213,13 @@ u AS (
   SELECT DISTINCT text, source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS total, unnest(list_transform(lines, lambda x: trim(x))) AS line FROM d WHERE text IS NOT NULL),
 l AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM u WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 4),
 several AS (SELECT line FROM l GROUP BY line HAVING count(DISTINCT coalesce(source, chr(1))) > 1),
-shared AS (SELECT text FROM (SELECT DISTINCT text, total, line, n FROM l WHERE line IN (SELECT line FROM several)) GROUP BY text, total HAVING 2 * sum(n) <= total),
+docs AS (SELECT line, count(*) AS docs FROM (SELECT doc_id, text, source, unnest(list_distinct(list_transform(lines, lambda x: trim(x)))) AS line FROM d) WHERE line IN (SELECT line FROM several) GROUP BY line),
+t AS (SELECT text, any_value(total) AS total, sum(n) AS long, coalesce(sum(n) FILTER (line IN (SELECT line FROM several)), 0) AS shared FROM (SELECT DISTINCT text, total, line, n FROM l) GROUP BY text),
+k AS (SELECT *, CASE WHEN 2 * shared <= total THEN -1 ELSE total - 5 * (long - shared) END AS lack FROM t),
+x AS (SELECT text, docs, coalesce(sum(n) OVER (PARTITION BY text ORDER BY docs, n, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT DISTINCT text, line, n FROM l) JOIN docs USING (line)),
+reach AS (SELECT k.text, coalesce(max(x.docs) FILTER (5 * before <= lack), 0) AS reach FROM k LEFT JOIN x ON x.text = k.text GROUP BY k.text),
 gone AS (
-  SELECT line FROM l WHERE line IN (SELECT line FROM several) AND text IN (SELECT text FROM shared)
+  SELECT line FROM l JOIN docs USING (line) JOIN reach USING (text) WHERE reach * 5 <= docs
   GROUP BY line HAVING count(DISTINCT coalesce(source, chr(1))) >= 5),
 g AS (SELECT coalesce(list(line), CAST([] AS VARCHAR[])) AS gone FROM gone),
 r AS (SELECT doc_id, text, lines, list_filter(lines, lambda x: NOT list_contains(gone, trim(x))) AS remaining FROM d, g)
