@@ -96,7 +96,7 @@ def test_ingest(spark, tmp_path):
     e = {r.name: (r.method, r.path) for r in endpoints.collect()}
     assert e["/x"] == ("GET", "/x")
     p = {r.name: (r.type, r.required) for r in S.parameters(endpoints).collect()}
-    assert p["limit"] == ("integer", True) and p["q"] == ("string", False)
+    assert p["limit"] == ("integer", True) and p["q"] == ("string", True)  # a bare name is required
 
 
 def test_records_and_manifest(spark, tmp_path):

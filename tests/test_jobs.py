@@ -21,7 +21,7 @@ def test_build_generate_evaluate(spark, tmp_path):
         (tmp_path / "in" / f"{i}.json").write_text(json.dumps(definition(i)))
     (tmp_path / "in" / "none.json").write_text(json.dumps({"name": "Empty", "endpoints": []}))
     built = {r.name: r.rows for r in jobs.build(spark, str(tmp_path / "in"), str(tmp_path / "b")).collect()}
-    assert built == {"tools": 6, "endpoints": 18, "parameters": 18, "nodes": 18, "edges": 18 + 2 * 36}
+    assert built == {"tools": 6, "endpoints": 18, "parameters": 18, "nodes": 6 + 18, "edges": 18 + 2 * 36}  # tools are nodes too
     records = jobs.generate(spark, str(tmp_path / "b"), str(tmp_path / "c"), 12)
     assert records.count() == 12
     first = {r.conversation_id: r.messages for r in records.collect()}
