@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspark.functions import inference as I
 from loomspark.functions import text as X
 from loomspark.operators import conversation as C
 from loomspark.operators import graph as G
@@ -14,23 +15,47 @@ from loomspark.operators import toolcalls as T
 from loomspark.sources import catalogue as S
 
 
-def build(spark: SparkSession, source: str, out: str, least_score: float = 0.0, endpoint_range: tuple[int, int] = (1, 100), most_edges: int = 50) -> DataFrame:
-    """Reads JSON definitions below source and saves tools, endpoints, parameters, nodes and edges; returns the manifest."""
-    tools = S.tools(S.records(S.scan(spark, source)))
-    endpoints = S.endpoints(tools)
-    parameters = S.parameters(endpoints)
-    ends = endpoints.select(F.col("endpoint_id").alias("endpoint"), F.col("tool_id").alias("tool"), "name", "description", "path", F.lit(False).alias("has_schema"))
+def build(spark: SparkSession, source: str, out: str, least_score: float = 0.0, endpoint_range: tuple[int, int] = (1, 100), most_edges: int = 50, semantic: float | None = None, most_tools: int | None = None, strict: bool = False) -> DataFrame:
+    """Reads JSON definitions below source and saves tools, endpoints, parameters, nodes and edges; returns the manifest.
+
+    Definitions are parsed once for each of the three tables; all else reads what is written. Types that a definition
+    doesn't give are inferred from all that it says. With semantic, endpoints whose texts have this cosine are linked too.
+    """
+    files = S.scan(spark, source, strict)
+    parsed = S.tools(S.records(files), most_tools)
+    found = S.endpoints(parsed)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{out}/_parsed/{name}")
+        return spark.read.parquet(f"{out}/_parsed/{name}")
+
+    tools = written(parsed.drop("endpoints"), "tools")
+    endpoints = written(found.select("endpoint_id", "tool_id", "ordinal", "name", "method", "path", "description", "response"), "endpoints")
+    parameters = written(S.parameters(found), "parameters")
+    guess = I.combine([I.from_name(F.col("name")), I.from_description(F.col("description")), I.from_default(F.col("default")), I.from_enum(F.col("enum_values")), I.from_place(F.col("location"))])
+    parameters = parameters.withColumn("_guess", guess).withColumn("type", F.when(F.col("inferred") & (F.col("_guess.confidence") >= 0.3), F.col("_guess.type")).otherwise(F.col("type"))).drop("_guess")
+    ends = endpoints.select(F.col("endpoint_id").alias("endpoint"), F.col("tool_id").alias("tool"), "name", "description", "method", "path", F.col("response.has_schema").alias("has_schema"))
     pars = parameters.select(F.col("endpoint_id").alias("endpoint"), "name", "description", "type", "required", "default")
     scored = scoring.tool_scores(tools.select(F.col("tool_id").alias("tool"), "name", "description", "domain"), ends, pars)
     kept = scored.where(F.col("n_endpoints").between(*endpoint_range) & (F.col("score") >= least_score))
-    scored_ends = scoring.endpoint_scores(ends, pars).join(kept.select("tool", "domain"), "tool")
-    nodes = scored_ends.select(F.col("endpoint").alias("node"), "tool", "domain", "name", X.graph_tier(F.col("score")).alias("tier"))
-    within = G.same_domain_edges(nodes.where("domain <> ''").select("node", "domain", "tier")).withColumn("edge_type", F.lit("same_domain"))
-    own = nodes.select(F.col("tool").alias("src"), F.col("node").alias("dst"), F.lit(1.0).alias("weight"), F.lit("same_tool").alias("edge_type"))
-    edges = G.prune_by_degree(own.unionByName(within).select("src", "dst", "edge_type", "weight"), most_edges)
+    scored_ends = scoring.endpoint_scores(ends, pars).join(kept.select("tool", "domain", F.col("name").alias("tool_name")), "tool")
+    tier = X.graph_tier(F.col("score"))
+    end_nodes = written(scored_ends.select(F.col("endpoint").alias("node"), F.lit("endpoint").alias("node_type"), "tool", "domain", "name", tier.alias("tier")), "nodes")
+    tool_nodes = kept.select(F.col("tool").alias("node"), F.lit("tool").alias("node_type"), "tool", "domain", "name", tier.alias("tier"))
+    within = G.same_domain_edges(end_nodes.where("domain <> ''").select("node", "domain", "tier")).withColumn("edge_type", F.lit("same_domain"))
+    own = end_nodes.select(F.col("tool").alias("src"), F.col("node").alias("dst"), F.lit(1.0).alias("weight"), F.lit("same_tool").alias("edge_type"))
+    edges = own.unionByName(within.select("src", "dst", "weight", "edge_type"))
+    more = {}
+    if semantic is not None:
+        names = parameters.groupBy("endpoint_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "name"))), lambda x: x["name"]).alias("parameters"))
+        described = scored_ends.join(names, F.col("endpoint") == F.col("endpoint_id"), "left").select(F.col("endpoint").alias("node"), X.endpoint_text(F.col("name"), F.col("description"), F.col("tool_name"), F.col("method"), F.col("path"), F.coalesce("parameters", F.array().cast("array<string>"))).alias("text"))
+        vectors = written(G.embedded(described, "node"), "embeddings")
+        linked = G.semantic_edges(vectors, semantic).withColumn("edge_type", F.lit("semantic_similarity"))
+        edges, more = edges.unionByName(linked.select("src", "dst", "weight", "edge_type")), {"embeddings": vectors}
+    edges = G.prune_by_degree(edges.select("src", "dst", "edge_type", "weight"), most_edges)
     ids = kept.select(F.col("tool").alias("tool_id"))
-    endpoint_table = endpoints.drop("raw", "parameters").join(ids, "tool_id", "left_semi")
-    S.save(out, tools=kept, endpoints=endpoint_table.select("endpoint_id", "tool_id", "name", "description", "method", "path"), parameters=parameters.join(endpoint_table.select("endpoint_id"), "endpoint_id", "left_semi"), nodes=nodes, edges=edges)
+    kept_ends = endpoints.join(ids, "tool_id", "left_semi")
+    S.save(out, tools=kept, endpoints=kept_ends.select("endpoint_id", "tool_id", "name", "description", "method", "path", "response"), parameters=parameters.join(kept_ends.select("endpoint_id"), "endpoint_id", "left_semi"), nodes=end_nodes.unionByName(tool_nodes), edges=edges, **more)
     return S.info(spark, out)
 
 
@@ -39,7 +64,7 @@ MESSAGES = "array<struct<role:string,content:string,endpoint:string,arguments:ma
 
 def _sampled(spark: SparkSession, built: str, count: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Chains of the saved graph, and its endpoints with the names that their calls need."""
-    named = S.load(spark, built, "nodes")
+    named = S.load(spark, built, "nodes").where("node_type = 'endpoint'")
     number = named.select("node", F.xxhash64("node").alias("id"))  # the sampler walks numbers
     edges = S.load(spark, built, "edges").where("edge_type = 'same_domain'").select("src", "dst", "weight")
     a, b = number.toDF("src", "u"), number.toDF("dst", "v")
@@ -107,6 +132,5 @@ def report(evaluated: DataFrame) -> DataFrame:
 
 
 def subset(tools: DataFrame, most: int, seed: int = 42) -> DataFrame:
-    """A sample of tools(tool, domain, ...) that gives each domain about the same number."""
-    n = max(1, most // max(1, tools.select("domain").distinct().count()))
-    return R.stratified(tools, "domain", "tool", n, seed)
+    """A sample of tools(tool, domain, ...) that gives each domain the same number, and what is left of `most` to any."""
+    return R.spread_sample(tools, "domain", "tool", most, seed)
