@@ -107,3 +107,33 @@ def markdown(compared: DataFrame) -> str:
     """The report table of compare(): one line for each metric."""
     rows = [f"| {r['metric']} | {r['a']:.4f} | {r['b']:.4f} | {r['delta']:+.4f} |" for r in compared.orderBy("metric").collect()]  # as many rows as there are metrics
     return "\n".join(["| Metric | Run A | Run B | Delta |", "| --- | --- | --- | --- |", *rows])
+
+
+def full_reward(steps: DataFrame, edges: DataFrame, low: int, high: int, least_tools: int, required: list, excluded: list) -> DataFrame:
+    """steps(chain, step, node, tool, domain): chain, reward: 1 for a length within bounds, .5 for each tool, .3 for each domain, .2 for each
+    step along an edge; less .5 for each excluded tool that is there, each required one that isn't, a length out of bounds, too few tools."""
+    w = Window.partitionBy("chain").orderBy("step")
+    pair = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct().withColumn("linked", F.lit(1))
+    moved = steps.withColumn("after", F.lead("node").over(w)).withColumns({"u": F.least("node", "after"), "v": F.greatest("node", "after")})
+    walked = moved.where("after IS NOT NULL").join(pair, ["u", "v"]).groupBy("chain").agg(F.count("*").alias("linked"))
+    has = lambda t: F.max((F.col("tool") == t).cast("int"))
+    faults = sum((has(t) for t in excluded), F.lit(0)) + sum((1 - has(t) for t in required), F.lit(0))
+    placed = F.when(F.coalesce(F.col("domain").cast("string"), F.lit("")) != "", F.col("domain"))
+    per = steps.groupBy("chain").agg(F.count("*").alias("n"), F.count_distinct("tool").alias("tools"), F.count_distinct(placed).alias("domains"), faults.alias("faults")).join(walked, "chain", "left")
+    fits = F.col("n").between(low, high)
+    score = F.when(fits, 1.0).otherwise(-0.5) + 0.5 * F.col("tools") + 0.3 * F.col("domains") + 0.2 * F.coalesce("linked", F.lit(0)) - 0.5 * F.col("faults") - F.when(F.col("tools") < least_tools, 0.5).otherwise(0.0)
+    return per.select("chain", score.alias("reward"))
+
+
+def full_constraints(steps: DataFrame, low: int, high: int, least_tools: int, required: list, excluded: list, domains: list | None = None) -> DataFrame:
+    """The chains of steps(chain, tool, domain) of an allowed length, with enough tools, all required and no excluded ones, in the domains only."""
+    per = steps.groupBy("chain").agg(F.count("*").alias("n"), F.collect_set("tool").alias("tools"), F.collect_set(F.coalesce(F.col("domain").cast("string"), F.lit(""))).alias("domains"))
+    listed = lambda values: F.array(*[F.lit(v) for v in values])
+    ok = F.col("n").between(low, high) & (F.size("tools") >= least_tools)
+    if required:
+        ok = ok & (F.size(F.array_except(listed(required), F.col("tools"))) == 0)
+    if excluded:
+        ok = ok & ~F.arrays_overlap("tools", listed(excluded))
+    if domains:
+        ok = ok & (F.size(F.array_except("domains", listed([str(d) for d in domains]))) == 0)
+    return per.where(ok).select("chain")

@@ -91,8 +91,10 @@ def embedded(texts: DataFrame, key: str, dims: int = 64) -> DataFrame:
     A stand-in for a language model, which isn't part of this engine: shared words make texts near.
     """
     words = F.filter(F.split(F.lower(F.col("text")), r"\W+"), lambda w: w != "")
-    each = texts.select(key, F.explode_outer(words).alias("w")).select(key, F.pmod(F.xxhash64("w"), F.lit(dims)).cast("int").alias("i"), F.when(F.xxhash64("w", F.lit(1)) % 2 == 0, 1.0).otherwise(-1.0).alias("v"), F.col("w").isNotNull().alias("has"))
-    sums = each.groupBy(key, "i").agg(F.sum(F.when(F.col("has"), F.col("v"))).alias("v")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
+    number = lambda start, n: F.conv(F.substring(F.md5(F.col("w").cast("binary")), start, n), 16, 10).cast("long")
+    sign = F.when(F.col("w").isNull(), 0.0).when(number(9, 1) % 2 == 0, 1.0).otherwise(-1.0)
+    each = texts.select(key, F.explode_outer(words).alias("w")).select(key, F.coalesce(number(1, 8) % dims, F.lit(0)).cast("int").alias("i"), sign.alias("v"))
+    sums = each.groupBy(key, "i").agg(F.sum("v").alias("v")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
     raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
     norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x * x))
     return sums.withColumn("raw", raw).withColumn("norm", norm).select(key, F.transform("raw", lambda x: F.when(F.col("norm") > 0, x / F.col("norm")).otherwise(x)).alias("embedding"))

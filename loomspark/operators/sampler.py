@@ -11,15 +11,46 @@ import hashlib
 import math
 import random
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Edges that may be sent to every task.
+from loomspark.functions.arguments import FAMILIES
+
+#: Edges that may be sent to every task; beyond it sample_chains raises, as a graph that large isn't a catalogue's (prune it, or sample it by domain).
 MOST_EDGES = 2_000_000
 
 
+@dataclass(frozen=True)
+class Constraints:
+    """What a chain must be: its length, tools it must and mustn't have, domains it may be in (none: any), how many tools at least."""
+
+    low: int = 2
+    high: int = 5
+    min_tools: int = 1
+    required: frozenset = frozenset()
+    excluded: frozenset = frozenset()
+    domains: frozenset = frozenset()
+
+
+class Graph:
+    """Neighbours in both directions, and the tool and domain of each node."""
+
+    def __init__(self, neighbours: dict[int, list[int]], tool: dict[int, object], domain: dict[int, object]):
+        self.neighbours, self.tool, self.domain = neighbours, tool, domain
+
+    def allowed(self, node: int, c: Constraints) -> bool:
+        return self.tool.get(node) not in c.excluded and (not c.domains or self.domain.get(node) in c.domains)
+
+    def starts(self, c: Constraints) -> list[int]:
+        return [n for n in sorted(self.neighbours) if self.allowed(n, c)]
+
+    def steps(self, path: list[int], c: Constraints) -> list[int]:
+        return [n for n in self.neighbours[path[-1]] if n not in path and self.allowed(n, c)] if len(path) < c.high else []
+
+
 def adjacency(edges: DataFrame, most: int = MOST_EDGES) -> dict[int, list[int]]:
     """Neighbours of each node in both directions; refuses a graph that is too large to send."""
     if edges.limit(most + 1).count() > most:
@@ -31,9 +62,21 @@ def adjacency(edges: DataFrame, most: int = MOST_EDGES) -> dict[int, list[int]]:
     return {k: sorted(v) for k, v in out.items()}
 
 
-def reward(path: list[int], domain: dict[int, int], low: int, high: int) -> float:
-    """1 for a length within bounds (else -.5), .5 for each tool and .3 for each domain."""
-    return (1.0 if low <= len(path) <= high else -0.5) + 0.5 * len(set(path)) + 0.3 * len({domain.get(x) for x in path})
+def reward(path: list[int], g: Graph, c: Constraints) -> float:
+    """1 for a length within bounds; .5 for each tool, .3 for each domain, .2 for each step along an edge; less .5 for each
+    excluded tool that is there, each required one that isn't, a length out of bounds, too few tools. -1 for no steps."""
+    if not path:
+        return -1.0
+    tools = {g.tool.get(n) for n in path}
+    fits = c.low <= len(path) <= c.high
+    linked = sum(b in g.neighbours.get(a, ()) for a, b in zip(path, path[1:]))
+    faults = len(c.excluded & tools) + len(c.required - tools) + (not fits) + (len(tools) < c.min_tools)
+    return fits + 0.5 * len(tools) + 0.3 * len({d for n in path if (d := g.domain.get(n)) not in (None, "")}) + 0.2 * linked - 0.5 * faults
+
+
+def satisfied(path: list[int], g: Graph, c: Constraints) -> bool:
+    tools = {g.tool.get(n) for n in path}
+    return c.low <= len(path) <= c.high and all(g.allowed(n, c) for n in path) and len(tools) >= c.min_tools and c.required <= tools
 
 
 class _Node:
@@ -44,12 +87,14 @@ class _Node:
         return max(self.children, key=lambda k: k.total / k.visits + c * math.sqrt(math.log(self.visits) / k.visits))
 
 
-def search(graph: dict[int, list[int]], domain: dict[int, int], rng: random.Random, low: int, high: int, rounds: int, explore: float = 1.4) -> list[int]:
-    """One chain of low to high distinct endpoints from a random start; shorter only where the graph ends."""
-    start = rng.choice(sorted(graph))
-    steps = lambda path: [x for x in graph[path[-1]] if x not in path] if len(path) < high else []
-    root = _Node([start], steps([start]))
-    found, most = [start], reward([start], domain, low, high)
+def search(g: Graph, c: Constraints, rng: random.Random, rounds: int, explore: float = 1.4) -> list[int]:
+    """The most rewarded chain of distinct endpoints that the tree search from a random start plays out; empty without a start."""
+    starts = g.starts(c)
+    if not starts:
+        return []
+    start = rng.choice(starts)
+    root = _Node([start], g.steps([start], c))
+    found, most = [start], reward([start], g, c)
     for _ in range(rounds):
         node, line = root, [root]
         while not node.open and node.children:
@@ -57,16 +102,16 @@ def search(graph: dict[int, list[int]], domain: dict[int, int], rng: random.Rand
             line.append(node)
         if node.open:
             path = [*node.path, node.open.pop(rng.randrange(len(node.open)))]
-            child = _Node(path, steps(path))
+            child = _Node(path, g.steps(path, c))
             node.children.append(child)
             line.append(child)
             node = child
         path = list(node.path)
         for _ in range(3):
-            if not (after := steps(path)):
+            if not (after := g.steps(path, c)):
                 break
             path.append(rng.choice(after))
-        got = reward(path, domain, low, high)
+        got = reward(path, g, c)
         if got > most:
             found, most = path, got
         for n in line:
@@ -75,24 +120,44 @@ def search(graph: dict[int, list[int]], domain: dict[int, int], rng: random.Rand
     return found
 
 
-def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count: int, seed: int = 42, low: int = 2, high: int = 5, rounds: int = 60, candidates: int = 3) -> DataFrame:
-    """chain, path, pattern of `count` chains over nodes(node, domain).
+def random_walk(g: Graph, c: Constraints, rng: random.Random, walks: int = 50) -> list[int]:
+    """The first of some uniform walks that satisfies the constraints, or an empty one."""
+    starts = g.starts(c)
+    for _ in range(walks if starts else 0):
+        path = [rng.choice(starts)]
+        while after := g.steps(path, c):
+            path.append(rng.choice(after))
+        if satisfied(path, g, c):
+            return path
+    return []
+
+
+def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count: int, seed: int = 42, low: int = 2, high: int = 5, rounds: int = 60, candidates: int = 3, constraints: Constraints | None = None) -> DataFrame:
+    """chain, path, pattern of `count` chains over nodes(node, domain[, tool]); without tools each node is its own.
 
     Of each chain's candidates the first whose tool set no earlier chain has (by number, then candidate) is
-    taken, else its first one: the diversity that steering asks for, as one window over hashes.
+    taken, else its first one: the diversity that steering asks for, as one window over hashes. With constraints a
+    candidate that doesn't satisfy them is a random walk that does; chains that find none are left out.
     """
-    graph = adjacency(edges)
-    domain = {r.node: r.domain for r in nodes.select("node", "domain").toLocalIterator() if r.node in graph}
-    shared = spark.sparkContext.broadcast((graph, domain))
+    neighbours = adjacency(edges)
+    c = constraints or Constraints(low, high)
+    known = {r.node: r for r in nodes.toLocalIterator() if r.node in neighbours}
+    has_tools = "tool" in nodes.columns
+    graph = Graph(neighbours, {n: r.tool if has_tools else n for n, r in known.items()}, {n: r.domain for n, r in known.items()})
+    shared = spark.sparkContext.broadcast((graph, c, constraints is not None))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, d = shared.value
+        g, c, strict = shared.value
         for batch in batches:
             rows = []
-            for chain in batch["id"] if g else []:
+            for chain in batch["id"] if g.neighbours else []:
                 for k in range(candidates):
                     rng = random.Random(int.from_bytes(hashlib.sha256(f"{seed}:{chain}:{k}".encode()).digest()[:8], "big"))
-                    rows.append((chain, k, search(g, d, rng, low, high, rounds)))
+                    path = search(g, c, rng, rounds)
+                    if strict and not satisfied(path, g, c):
+                        path = random_walk(g, c, rng)
+                    if path:
+                        rows.append((chain, k, path))
             yield pd.DataFrame(rows, columns=["chain", "candidate", "path"])
 
     made = spark.range(count).mapInPandas(run, "chain long, candidate int, path array<long>")
@@ -109,13 +174,31 @@ REPLIES = ("Please use {}.", "It should be {}.", "Take {}.")
 CLOSERS = ("Done: {}.", "Here is what I found: {}.", "All steps are complete: {}.", "Finished. {}.")
 
 
-def conversation(chain: int, steps: list[dict], seed: int, clarify: float = 0.3) -> list[dict]:
+def at_hand(name: str, known: dict[str, str]) -> str | None:
+    """The value for a parameter among those that earlier results hold: its own, one of a name that contains it or is in it, one of its family."""
+    if name in known:
+        return known[name]
+    low = name.lower()
+    for key, value in known.items():
+        if low in key.lower() or key.lower() in low:
+            return value
+    for asks, offers, kind in FAMILIES:
+        if kind == "string" and any(w in low for w in asks.split()):
+            for key, value in known.items():
+                if any(w in key.lower() for w in offers.split()):
+                    return value
+    return None
+
+
+def conversation(chain: int, steps: list[dict], seed: int, clarify: float = 0.3, most_messages: int | None = None) -> list[dict]:
     """Messages of one chain: request, a call and its result for each step, follow-ups, a summary.
 
+    Once most_messages is reached the steps that are left are passed over and the summary is given.
+
     With probability `clarify` the assistant asks once, before the first call, for what that call needs, and
     the call takes the user's values.
 
-    Arguments take a value that an earlier result holds under the same name, else a fresh one; results echo
+    Arguments take a value that an earlier result holds (see at_hand), else a fresh one; results echo
     their arguments and add an id, so later steps are grounded.
     """
     rng = random.Random(int.from_bytes(hashlib.sha256(f"{seed}:{chain}".encode()).digest()[:8], "big"))
@@ -132,7 +215,9 @@ def conversation(chain: int, steps: list[dict], seed: int, clarify: float = 0.3)
         known |= {p: f"{p}-{rng.randrange(1000, 9999)}" for p in asked}
         say("user", rng.choice(REPLIES).format(" and ".join(known[p] for p in asked) or "whatever fits"))
     for i, s in enumerate(steps):
-        needed = {p: known.get(p) or f"{p}-{rng.randrange(1000, 9999)}" for p in s["parameters"]}
+        if most_messages is not None and len(out) + 3 > most_messages:
+            break
+        needed = {p: at_hand(p, known) or f"{p}-{rng.randrange(1000, 9999)}" for p in s["parameters"]}
         say("assistant", endpoint=s["endpoint"], arguments=needed)
         known |= needed | {f"{s['endpoint']}_id": f"id-{rng.randrange(1000, 9999)}", "id": f"id-{i}-{rng.randrange(1000, 9999)}"}
         say("tool", "; ".join(f"{k}={v}" for k, v in sorted(known.items())), endpoint=s["endpoint"])
@@ -143,7 +228,7 @@ def conversation(chain: int, steps: list[dict], seed: int, clarify: float = 0.3)
     return out
 
 
-def generate(chains: DataFrame, endpoints: DataFrame, seed: int = 42, clarify: float = 0.3) -> DataFrame:
+def generate(chains: DataFrame, endpoints: DataFrame, seed: int = 42, clarify: float = 0.3, most_messages: int | None = None) -> DataFrame:
     """Messages (chain, pos, role, content, endpoint, arguments) for chains(chain, path).
 
     endpoints(node, name, parameters array<string>) are joined in Spark; only the dialogue itself is Python.
@@ -153,7 +238,7 @@ def generate(chains: DataFrame, endpoints: DataFrame, seed: int = 42, clarify: f
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [m for chain, s in zip(batch["chain"], batch["steps"], strict=True) for m in conversation(int(chain), [{"endpoint": str(x["node"]), "name": x["name"], "parameters": list(x["parameters"])} for x in s], seed, clarify)]
+            rows = [m for chain, s in zip(batch["chain"], batch["steps"], strict=True) for m in conversation(int(chain), [{"endpoint": str(x["node"]), "name": x["name"], "parameters": list(x["parameters"])} for x in s], seed, clarify, most_messages)]
             yield pd.DataFrame(rows, columns=["chain", "pos", "role", "content", "endpoint", "arguments"])
 
     return each.mapInPandas(run, "chain long, pos long, role string, content string, endpoint string, arguments map<string,string>")

@@ -56,7 +56,8 @@ def _is(v: Column, path: str, kind: str) -> Column:
 
 def _there(v: Column, name: str) -> Column:
     """Whether an object has this field with another value than null."""
-    return ~F.coalesce(F.is_variant_null(F.try_variant_get(v, f"$.{name}", "variant")), F.lit(True))
+    found = F.try_variant_get(v, f"$.{name}", "variant")
+    return found.isNotNull() & ~F.is_variant_null(found)
 
 
 def response_schema(raw: Column) -> Column:
