@@ -34,8 +34,9 @@ def repair(c: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def unescape(texts: pd.Series) -> pd.Series:
-    """Texts with their character references decoded: Spark has no expression for the full table of names."""
-    return texts.map(html.unescape, na_action="ignore")
+    """Texts with \\uXXXX and character references decoded: Spark has no expression for the full table of names."""
+    plain = lambda t: re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m[1], 16)), t).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    return texts.map(lambda t: html.unescape(plain(t)), na_action="ignore")
 
 
 def description(c: Column, name: Column, most: int = 2000) -> Column:
@@ -157,8 +158,10 @@ def base_url(url: Column) -> Column:
 
 
 def template_path(path: Column) -> Column:
-    """Path parameters in braces, one leading and no trailing slash, no query."""
-    p = F.regexp_replace(F.split_part(F.trim(path), F.lit("?"), F.lit(1)), r":(\w+)|<(\w+)>", "{$1$2}")
+    """Path parameters in braces, one leading and no trailing slash, no query, percent-encoding decoded where it is valid."""
+    bare = F.split_part(F.trim(path), F.lit("?"), F.lit(1))
+    bare = F.coalesce(F.try_url_decode(F.replace(bare, F.lit("+"), F.lit("%2B"))), bare)
+    p = F.regexp_replace(bare, r":(\w+)|<(\w+)>", "{$1$2}")
     p = F.regexp_replace(F.concat(F.lit("/"), p), "^/+", "/")
     return F.when(p == "/", p).otherwise(F.regexp_replace(p, "/+$", ""))
 

@@ -34,6 +34,17 @@ def metadata(messages: DataFrame) -> DataFrame:
     return messages.groupBy("conv").agg(F.count("*").alias("n_turns"), F.countDistinct("role").alias("n_roles"), F.sum(F.length("text")).cast("long").alias("n_chars"), F.array_join(F.array_sort(F.collect_set("role")), ",").alias("roles"))
 
 
+def call_metadata(messages: DataFrame, calls: DataFrame) -> DataFrame:
+    """conv with num_turns, num_tool_calls, tools_used, domains and endpoints (sorted, by comma) and num_distinct_tools.
+
+    messages(conv), calls(conv, tool, domain, endpoint): a row for each call; a null or empty domain isn't listed.
+    """
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(c).cast("string"), F.lit("")))), ",").alias
+    per = calls.groupBy("conv").agg(F.count("*").alias("num_tool_calls"), F.count_distinct("tool").alias("num_distinct_tools"), listed("tool")("tools_used"), listed("domain")("domains"), listed("endpoint")("endpoints"))
+    out = messages.groupBy("conv").agg(F.count("*").alias("num_turns")).join(per, "conv", "left")
+    return out.fillna(0, ["num_tool_calls", "num_distinct_tools"]).fillna("", ["tools_used", "domains", "endpoints"])
+
+
 def judge(messages: DataFrame) -> DataFrame:
     """The rule-based scores of task completion and naturalness, from 1 to 5, without tool calls."""
     per = messages.groupBy("conv").agg(F.count("*").alias("n"), F.min_by("role", "pos").alias("first"), F.max_by("role", "pos").alias("last"), F.count_if(F.col("role") == "user").alias("users"), F.count_if((F.col("role") == "assistant") & F.col("text").contains("?")).alias("asks"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -137,3 +139,50 @@ def full_constraints(steps: DataFrame, low: int, high: int, least_tools: int, re
     if domains:
         ok = ok & (F.size(F.array_except("domains", listed([str(d) for d in domains]))) == 0)
     return per.where(ok).select("chain")
+
+
+#: What steering says, by whether it is domains or tools and one or several.
+STEER = {("domain", False): "Focus this conversation on the {} domain.", ("domain", True): "Focus this conversation on tools from these domains: {}.", ("tool", False): "Try to use the {} tool in this conversation.", ("tool", True): "Try to incorporate these tools: {}."}
+
+
+def steering_prompt(domain_uses: DataFrame, available: DataFrame, tool_uses: DataFrame, known_tools: DataFrame, most: int = 3) -> DataFrame:
+    """One row with text: as steering() for the domains; if none is rarely used, the same for tools; else empty.
+
+    domain_uses(domain, uses), available(domain), tool_uses(tool, uses), known_tools(tool). Medians are over the available
+    domains, unused ones included, and over the tools that were used.
+    """
+
+    def rare(kind: str, uses: DataFrame, known: DataFrame, of_used: bool) -> DataFrame:
+        counts = known.distinct().join(uses, kind, "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+        median = (uses if of_used else counts).agg(F.coalesce(F.percentile("uses", 0.5), F.lit(0.0)).alias("median"))
+        few = counts.join(F.broadcast(median), F.col("uses") <= F.col("median")).select(F.col(kind).cast("string").alias("x")).orderBy("x").limit(most)  # one row
+        names = F.array_sort(F.collect_list("x"))
+        said = [F.concat(*[F.array_join(names, ", ") if part == "{}" else F.lit(part) for part in re.split(r"({})", STEER[kind, several])]) for several in (False, True)]
+        return few.agg(F.when(F.size(names) == 0, F.lit("")).when(F.size(names) == 1, said[0]).otherwise(said[1]).alias(f"{kind}_text"))
+
+    both = rare("domain", domain_uses, available, False).join(rare("tool", tool_uses, known_tools, True), F.lit(True))
+    return both.select(F.when(F.col("domain_text") != "", F.col("domain_text")).otherwise(F.col("tool_text")).alias("text"))
+
+
+def analysis(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row with text: what run b has over run a; both are one row with entropy, distinct_tools, n_patterns and mean_score."""
+    names = ("entropy", "distinct_tools", "n_patterns", "mean_score")
+    both = a.select(*[F.col(c).alias(f"a_{c}") for c in names]).join(b.select(*[F.col(c).alias(f"b_{c}") for c in names]), F.lit(True))
+    gap = lambda c: F.col(f"b_{c}") - F.col(f"a_{c}")
+    span = lambda c, f: F.format_string(f"({f} -> {f})", f"a_{c}", f"b_{c}")
+    moved = lambda verb, c, f, end: F.concat(F.lit(f"{verb} "), F.format_string(f, F.abs(gap(c))), F.lit(" "), span(c, f), F.lit(end))
+    entropy = F.when(gap("entropy") > 0.001, moved("Steering increased tool entropy by", "entropy", "%.4f", ", indicating a more uniform tool distribution.")).when(gap("entropy") < -0.001, moved("Steering decreased tool entropy by", "entropy", "%.4f", ".")).otherwise("Tool entropy was identical between runs.")
+    count = lambda c, word, kind: F.concat(F.format_string(f"Steering {word[0]} %d {word[1]} unique {kind} ", F.abs(gap(c))), span(c, "%d"), F.lit("."))
+    tools = F.when(gap("distinct_tools") > 0, count("distinct_tools", ("used", "more"), "tools")).when(gap("distinct_tools") < 0, count("distinct_tools", ("used", "fewer"), "tools"))
+    combos = F.when(gap("n_patterns") > 0, count("n_patterns", ("produced", "more"), "tool combinations"))
+    quality = F.when(gap("mean_score") < -0.01, moved("Quality decreased by", "mean_score", "%.2f", " \u2014 diversity-quality tradeoff observed.")).when(gap("mean_score") > 0.01, moved("Quality increased by", "mean_score", "%.2f", " \u2014 no tradeoff.")).otherwise("Quality was identical \u2014 no tradeoff observed.")
+    return both.select(F.concat_ws("\n", entropy, tools, combos, quality).alias("text"))
+
+
+def run_metrics(steps: DataFrame, records: DataFrame) -> DataFrame:
+    """metrics() with the means of records(the four scores; null: not scored; turns, calls): mean_score, each score, avg_turns, avg_tool_calls."""
+    dims = ("tool_correctness", "argument_grounding", "task_completion", "naturalness")
+    mean = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
+    scored = records.agg(*[mean(d).alias(d) for d in dims], F.round(mean("turns"), 2).alias("avg_turns"), F.round(mean("calls"), 2).alias("avg_tool_calls"))
+    scored = scored.withColumn("mean_score", F.round(sum((F.col(d) for d in dims), F.lit(0.0)) / 4, 2)).withColumns({d: F.round(d, 2) for d in dims})
+    return metrics(steps).join(scored, F.lit(True))

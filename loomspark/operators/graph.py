@@ -143,8 +143,17 @@ def prune(edges: DataFrame, k: int) -> DataFrame:
     return best.groupBy("src", "dst", "weight").agg(F.count("*").alias("n")).where("n = 2").drop("n")
 
 
-def neighbours(edges: DataFrame) -> DataFrame:
-    """Each node's neighbours in either direction with the best weight."""
+def cosine(a: Column, b: Column) -> Column:
+    """Of two arrays, in double precision; 0 where one is zero."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
+    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return F.when(norm == 0, 0.0).otherwise(dot(a, b) / norm)
+
+
+def neighbours(edges: DataFrame, types: list[str] | None = None) -> DataFrame:
+    """Each node's neighbours in either direction with the best weight, along edges of these types (none: all)."""
+    if types is not None:
+        edges = edges.where(F.col("edge_type").isin(types))
     return symmetric(edges).groupBy(F.col("src").alias("node"), F.col("dst").alias("neighbour")).agg(F.max("weight").alias("weight"))
 
 
@@ -190,6 +199,15 @@ def stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return n.join(m, F.lit(True)).withColumn("density", F.col("n_edges") / F.greatest(F.col("n_nodes") * (F.col("n_nodes") - 1), F.lit(1)))
 
 
+def whole_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row for nodes(node, node_type) and edges(src, dst, edge_type): tool and endpoint nodes, a map of edges by type, density, components."""
+    n = nodes.agg(F.count("*").alias("n"), F.count_if(F.col("node_type") == "tool").alias("tool_nodes"), F.count_if(F.col("node_type") == "endpoint").alias("endpoint_nodes"))
+    by_type = edges.groupBy("edge_type").agg(F.count("*").alias("k")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("edge_type", "k")))).alias("edge_counts"), F.coalesce(F.sum("k"), F.lit(0)).alias("m"))
+    parts = components(nodes, edges).agg(F.count_distinct("component").alias("components"))
+    one = n.join(by_type, F.lit(True)).join(parts, F.lit(True))
+    return one.select("tool_nodes", "endpoint_nodes", "edge_counts", F.when(F.col("n") > 1, F.col("m") / (F.col("n") * (F.col("n") - 1))).otherwise(0.0).alias("density"), "components")
+
+
 def prune_by_degree(edges: DataFrame, most: int = 50, protected: str = "same_tool") -> DataFrame:
     """edges(src, dst, edge_type, weight): nodes of more than `most` edges keep the protected ones and the best of the rest.
 

@@ -43,6 +43,43 @@ def tool_scores(tools: DataFrame, endpoints: DataFrame, parameters: DataFrame) -
     return out.withColumn("tier", X.tier(F.col("score")))
 
 
+#: What a tool's score is made of, its weight, the field that is missing and what is recommended.
+COMPONENTS = {
+    "tool_name": (0.1, "tool.name", "Add a descriptive tool name."),
+    "tool_description": (0.15, "tool.description", "Add a description of at least 10 characters."),
+    "tool_domain": (0.1, "tool.domain", "Assign a domain/category to improve sampling diversity."),
+    "tool_has_endpoints": (0.15, "tool.endpoints", "Define at least one endpoint."),
+}
+ENDPOINT_SHARE, POOR_ENDPOINTS = 0.5, "Improve endpoint documentation (descriptions, parameters, response schemas)."
+
+
+def breakdown(tools: DataFrame, endpoints: DataFrame, parameters: DataFrame) -> DataFrame:
+    """tools(tool, name, description, domain): components (a map), missing, recommended, score (at most 1) and tier of each."""
+    per = endpoint_scores(endpoints, parameters).groupBy("tool").agg(F.avg("score").alias("_mean"))
+    named, placed = (F.trim(F.coalesce(c, F.lit(""))) != "" for c in ("name", "domain"))
+    there = dict(zip(COMPONENTS, (named, X.meaningful(F.col("description"), F.col("name")), placed, F.col("_mean").isNotNull()), strict=True))
+    scores = {k: F.when(there[k], w).otherwise(0.0) for k, (w, _, _) in COMPONENTS.items()} | {"endpoint_quality": F.round(ENDPOINT_SHARE * F.coalesce("_mean", F.lit(0.0)), 4)}
+    components = F.create_map(*[x for k, v in scores.items() for x in (F.lit(k), v)])
+    missing = F.array_compact(F.array(*[F.when(~there[k], f) for k, (_, f, _) in COMPONENTS.items()]))
+    said = F.array_compact(F.array(*[F.when(~there[k], r) for k, (_, _, r) in COMPONENTS.items()], F.when(F.col("_mean") < 0.5, POOR_ENDPOINTS)))
+    total = F.round(F.least(F.lit(1.0), sum(scores.values(), F.lit(0.0))), 4)
+    out = tools.join(per, "tool", "left").select("tool", components.alias("components"), missing.alias("missing"), said.alias("recommended"), total.alias("score"))
+    return out.withColumn("tier", X.tier(F.col("score")))
+
+
+def quality_report(broken_down: DataFrame) -> DataFrame:
+    """One row for what breakdown() gives: total_tools, average_score, tiers (a map, zeros included), histogram of ten, top_issues (five at most)."""
+    tiers = ("excellent", "good", "fair", "poor", "minimal")
+    bucket = F.least(F.floor(F.col("score") * 10).cast("int"), F.lit(9))
+    one = broken_down.agg(
+        F.count("*").alias("total_tools"), F.coalesce(F.round(F.avg("score"), 4), F.lit(0.0)).alias("average_score"),
+        F.create_map(*[x for t in tiers for x in (F.lit(t), F.count_if(F.col("tier") == t))]).alias("tiers"), F.array(*[F.count_if(bucket == i) for i in range(10)]).alias("histogram"),
+    )
+    issues = broken_down.select(F.explode("missing").alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+    top = F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "issue"))), 1, 5), lambda x: x["issue"])  # as many issues as there are components
+    return one.join(issues.agg(top.alias("top_issues")), F.lit(True))
+
+
 def documented(parameters: DataFrame) -> DataFrame:
     """documented and total, for each endpoint."""
     return parameters.groupBy("endpoint").agg(F.count_if(X.meaningful(F.col("description"), F.col("name"))).alias("documented"), F.count("*").alias("total"))

@@ -478,6 +478,105 @@ def chain_constraints(spark, sf):
     return D.full_constraints(s, 1, 5, 1, required=[4], excluded=[3], domains=[0, 1, 4])
 
 
+# ---- further reports and scores
+
+
+@query("SELECT a.vec_id, round(list_cosine_similarity(list_transform(a.embedding, lambda x: CAST(x AS DOUBLE)), list_transform(b.embedding, lambda x: CAST(x AS DOUBLE))), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+def cosine_pairs(spark, sf):
+    v = table(spark, sf, "embeddings")
+    b = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    return v.join(b, "vec_id").select("vec_id", F.round(G.cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"))
+
+
+def _typed_graph(spark, sf):
+    n = table(spark, sf, "supplier").select(F.concat(F.lit("ep:"), F.col("s_suppkey")).alias("node"), F.lit("endpoint").alias("node_type")).unionByName(table(spark, sf, "nation").select(F.concat(F.lit("tool:"), F.col("n_nationkey")).alias("node"), F.lit("tool").alias("node_type")))
+    near = G.same_domain_pruned(nodes(spark, sf), 2).select(F.concat(F.lit("ep:"), F.col("src")).alias("src"), F.concat(F.lit("ep:"), F.col("dst")).alias("dst"), F.lit("same_domain").alias("edge_type"), "weight")
+    return n, _owned(spark, sf).unionByName(near)
+
+
+@query(f"""WITH {_PRUNED.replace("r <= 3", "r <= 2")} SELECT (SELECT count(*) FROM nation) AS tool_nodes, (SELECT count(*) FROM supplier) AS endpoint_nodes, (SELECT count(*) FROM p) AS same_domain, (SELECT count(*) FROM supplier) AS same_tool,
+round(CAST((SELECT count(*) FROM p) + (SELECT count(*) FROM supplier) AS DOUBLE) / (((SELECT count(*) FROM supplier) + 25) * ((SELECT count(*) FROM supplier) + 24)), 9) AS density, 25 AS components""")
+def typed_graph_stats(spark, sf):
+    s = G.whole_stats(*_typed_graph(spark, sf))
+    return s.select("tool_nodes", "endpoint_nodes", F.col("edge_counts")["same_domain"].alias("same_domain"), F.col("edge_counts")["same_tool"].alias("same_tool"), F.round("density", 9).alias("density"), "components")
+
+
+@query("SELECT 'tool:' || s_nationkey AS node, 'ep:' || s_suppkey AS neighbour, CAST(1 AS DOUBLE) AS weight FROM supplier UNION ALL SELECT 'ep:' || s_suppkey, 'tool:' || s_nationkey, 1 FROM supplier")
+def neighbours_by_type(spark, sf):
+    return G.neighbours(_typed_graph(spark, sf)[1], ["same_tool"])
+
+
+_BROKEN = """e AS (SELECT s_nationkey AS tool, 0.05 + 0.1 + 0.05 + CASE WHEN s_suppkey % 2 = 0 THEN 0.3 ELSE 0 END AS score FROM supplier), m AS (SELECT tool, avg(CAST(score AS DOUBLE)) AS mean FROM e GROUP BY tool),
+b AS (SELECT n_nationkey AS tool, n_nationkey % 3 > 0 AS described, n_nationkey % 2 = 0 AS placed, mean, (0.1 + CASE WHEN n_nationkey % 3 > 0 THEN 0.15 ELSE 0 END + CASE WHEN n_nationkey % 2 = 0 THEN 0.1 ELSE 0 END + CASE WHEN mean IS NOT NULL THEN 0.15 ELSE 0 END)::DOUBLE + round(0.5 * coalesce(mean, 0), 4) AS score FROM nation LEFT JOIN m ON m.tool = n_nationkey),
+k AS (SELECT *, round(score, 4) AS total FROM b)"""
+
+
+def _broken(spark, sf):
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("tool"), F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 3 > 0, "Rows of all kinds").alias("description"), F.when(F.col("n_nationkey") % 2 == 0, "area").otherwise(" ").alias("domain"))
+    e = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("endpoint"), F.col("s_nationkey").alias("tool"), F.col("s_name").alias("name"), F.lit("").alias("description"), F.lit("/x").alias("path"), (F.col("s_suppkey") % 2 == 0).alias("has_schema"))
+    none = spark.createDataFrame([], "endpoint long, name string, description string, type string, required boolean, default string")
+    return scoring.breakdown(n, e, none)
+
+
+@query(f"""WITH {_BROKEN} SELECT tool, CAST(total AS DOUBLE) AS score, round(0.5 * coalesce(mean, 0), 4) AS endpoint_quality, array_to_string(list_filter([CASE WHEN NOT described THEN 'tool.description' END, CASE WHEN NOT placed THEN 'tool.domain' END, CASE WHEN mean IS NULL THEN 'tool.endpoints' END], lambda x: x IS NOT NULL), ',') AS missing,
+(NOT described)::INT + (NOT placed)::INT + (mean IS NULL)::INT + coalesce(mean < 0.5, false)::INT AS n_recommended FROM k""")
+def tool_breakdown(spark, sf):
+    return _broken(spark, sf).select("tool", "score", F.col("components")["endpoint_quality"].alias("endpoint_quality"), F.array_join("missing", ",").alias("missing"), F.size("recommended").alias("n_recommended"))
+
+
+@query(f"""WITH {_BROKEN}, i AS (SELECT unnest(list_filter([CASE WHEN NOT described THEN 'tool.description' END, CASE WHEN NOT placed THEN 'tool.domain' END, CASE WHEN mean IS NULL THEN 'tool.endpoints' END], lambda x: x IS NOT NULL)) AS issue FROM k), c AS (SELECT issue, count(*) AS n FROM i GROUP BY issue)
+SELECT count(*) AS total_tools, round(avg(total), 4) AS average_score, count(*) FILTER (total >= 0.8) AS excellent, count(*) FILTER (total >= 0.6 AND total < 0.8) AS good, count(*) FILTER (total >= 0.4 AND total < 0.6) AS fair, count(*) FILTER (total >= 0.2 AND total < 0.4) AS poor, count(*) FILTER (total < 0.2) AS minimal,
+(SELECT string_agg(issue, ',' ORDER BY n DESC, issue) FROM c) AS top_issues FROM k""")
+def quality_report(spark, sf):
+    r = scoring.quality_report(_broken(spark, sf))
+    return r.select("total_tools", "average_score", *[F.col("tiers")[t].alias(t) for t in reversed(R.TIERS)], F.array_join("top_issues", ",").alias("top_issues"))
+
+
+@query("""SELECT o_orderkey AS conv, CAST(o_orderkey % 3 + 1 AS BIGINT) AS num_turns, count(l_orderkey) AS num_tool_calls, count(DISTINCT l_suppkey) AS num_distinct_tools, coalesce(string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)), '') AS tools_used,
+coalesce(string_agg(DISTINCT CASE WHEN l_suppkey % 5 > 0 THEN CAST(l_suppkey % 5 AS VARCHAR) END, ',' ORDER BY CASE WHEN l_suppkey % 5 > 0 THEN CAST(l_suppkey % 5 AS VARCHAR) END), '') AS domains, coalesce(string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)), '') AS endpoints
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""")
+def call_metadata(spark, sf):
+    from loomspark.operators import conversation as C
+
+    m = table(spark, sf, "orders").select(F.col("o_orderkey").alias("conv"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("o_orderkey") % 3)))
+    calls = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("conv"), F.col("l_suppkey").alias("tool"), F.when(F.col("l_suppkey") % 5 > 0, (F.col("l_suppkey") % 5).cast("string")).otherwise("").alias("domain"), F.col("l_partkey").alias("endpoint"))
+    return C.call_metadata(m, calls)
+
+
+@query("""WITH u AS (SELECT l_suppkey AS tool, count(*) AS uses FROM lineitem GROUP BY l_suppkey), x AS (SELECT CAST(s_suppkey AS VARCHAR) AS x FROM supplier LEFT JOIN u ON tool = s_suppkey WHERE coalesce(uses, 0) <= (SELECT median(uses) FROM u) ORDER BY 1 LIMIT 3)
+SELECT 'Try to incorporate these tools: ' || string_agg(x, ', ' ORDER BY x) || '.' AS text FROM x""")
+def steering_tools(spark, sf):
+    """No domain is at hand, so tools are steered to."""
+    used = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("tool")).agg(F.count("*").alias("uses"))
+    none = spark.createDataFrame([], "domain string, uses long")
+    return D.steering_prompt(none, none.select("domain"), used, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("tool")))
+
+
+def _run(label: str) -> str:
+    return f"(WITH s AS (SELECT l_orderkey, l_suppkey, l_quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority = '{label}'), c AS (SELECT l_suppkey, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM s) GROUP BY l_suppkey), p AS (SELECT string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS k FROM s GROUP BY l_orderkey) SELECT (SELECT log2(sum(n)) - sum(n * log2(n)) / sum(n) FROM c) AS entropy, (SELECT count(*) FROM c) AS tools, (SELECT count(DISTINCT k) FROM p) AS patterns, round((SELECT avg(l_quantity) FROM s), 2) AS score)"
+
+
+@query(f"""SELECT concat_ws(chr(10), CASE WHEN b.entropy - a.entropy > 0.001 THEN 'Steering increased tool entropy by ' || printf('%.4f', b.entropy - a.entropy) || printf(' (%.4f -> %.4f), indicating a more uniform tool distribution.', a.entropy, b.entropy) WHEN b.entropy - a.entropy < -0.001 THEN 'Steering decreased tool entropy by ' || printf('%.4f', a.entropy - b.entropy) || printf(' (%.4f -> %.4f).', a.entropy, b.entropy) ELSE 'Tool entropy was identical between runs.' END,
+CASE WHEN b.tools > a.tools THEN printf('Steering used %d more unique tools (%d -> %d).', b.tools - a.tools, a.tools, b.tools) WHEN b.tools < a.tools THEN printf('Steering used %d fewer unique tools (%d -> %d).', a.tools - b.tools, a.tools, b.tools) END,
+CASE WHEN b.patterns > a.patterns THEN printf('Steering produced %d more unique tool combinations (%d -> %d).', b.patterns - a.patterns, a.patterns, b.patterns) END,
+CASE WHEN b.score - a.score < -0.01 THEN printf('Quality decreased by %.2f (%.2f -> %.2f) — diversity-quality tradeoff observed.', a.score - b.score, a.score, b.score) WHEN b.score - a.score > 0.01 THEN printf('Quality increased by %.2f (%.2f -> %.2f) — no tradeoff.', b.score - a.score, a.score, b.score) ELSE 'Quality was identical — no tradeoff observed.' END) AS text FROM {_run("1-URGENT")} a, {_run("5-LOW")} b""")
+def run_analysis(spark, sf):
+    joined = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+    def run(label):
+        mine = joined.where(F.col("o_orderpriority") == label)
+        chains = mine.select(F.col("l_orderkey").alias("chain"), F.monotonically_increasing_id().alias("step"), F.col("l_suppkey").alias("tool"))
+        return D.metrics(chains).join(mine.agg(F.round(F.avg("l_quantity"), 2).alias("mean_score")), F.lit(True))
+
+    return D.analysis(run("1-URGENT"), run("5-LOW"))
+
+
+@query("SELECT s_suppkey, substr(sha256('{\"a\":{\"x\":\"' || s_name || '\",\"y\":1},\"b\":' || s_suppkey || '}'), 1, 16) AS key FROM supplier")
+def prompt_keys(spark, sf):
+    prompt = F.struct(F.col("s_suppkey").alias("b"), F.struct(F.lit(1).alias("y"), F.col("s_name").alias("x")).alias("a"))
+    return table(spark, sf, "supplier").select("s_suppkey", S.prompt_key(prompt).alias("key"))
+
+
 # ---- PageRank, unrolled
 
 

@@ -353,9 +353,14 @@ def load_config(path: str | None, defaults: dict, overrides: dict | None = None)
     return out
 
 
+def canonical(prompt: Column) -> Column:
+    """A struct or map as JSON with sorted keys at every level."""
+    return F.to_json(F.parse_json(F.to_json(prompt)))  # a VARIANT keeps its keys in order
+
+
 def prompt_key(prompt: Column) -> Column:
-    """The 16 hex digits that a prompt (a struct or map, by sorted keys) is cached under."""
-    return F.substring(F.sha2(F.to_json(prompt).cast("binary"), 256), 1, 16)
+    """The 16 hex digits that a prompt is cached under, whatever the order of its keys."""
+    return F.substring(F.sha2(canonical(prompt).cast("binary"), 256), 1, 16)
 
 
 def cached(prompts: DataFrame, cache: DataFrame, now: Column, ttl_seconds: int | None = None) -> DataFrame:
