@@ -498,7 +498,7 @@ def _typed_graph(spark, sf):
 round(CAST((SELECT count(*) FROM p) + (SELECT count(*) FROM supplier) AS DOUBLE) / (((SELECT count(*) FROM supplier) + 25) * ((SELECT count(*) FROM supplier) + 24)), 9) AS density, 25 AS components""")
 def typed_graph_stats(spark, sf):
     s = G.whole_stats(*_typed_graph(spark, sf))
-    return s.select("tool_nodes", "endpoint_nodes", F.col("edge_counts")["same_domain"].alias("same_domain"), F.col("edge_counts")["same_tool"].alias("same_tool"), F.round("density", 9).alias("density"), "components")
+    return s.select("tool_nodes", "endpoint_nodes", F.coalesce(F.col("edge_counts")["same_domain"], F.lit(0)).alias("same_domain"), F.col("edge_counts")["same_tool"].alias("same_tool"), F.round("density", 9).alias("density"), "components")
 
 
 @query("SELECT 'tool:' || s_nationkey AS node, 'ep:' || s_suppkey AS neighbour, CAST(1 AS DOUBLE) AS weight FROM supplier UNION ALL SELECT 'ep:' || s_suppkey, 'tool:' || s_nationkey, 1 FROM supplier")
