@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import small_batches, stage
+from ._common import packed, small_batches, stage
 
 #: Labelled rows that a list is learned from, at most: those with the least hashes of their ids.
 SAMPLE = 6000
@@ -93,12 +93,13 @@ def statistics(docs: DataFrame, whole: bool = False) -> DataFrame:
     """doc_id (whole: all columns, as the struct `row`) and the counts of each row's whole text."""
     names = (*COUNTS, *MORE)
     small_batches(docs.sparkSession)
-    rows = docs.select(F.struct(*docs.columns).alias("row") if whole else F.col("doc_id"), F.col("text").alias("_text"))
+    rows = docs.select(packed(docs).alias("row")) if whole else docs.select("doc_id", "text")  # a text is sent once
     schema = T.StructType([rows.schema[0], *(T.StructField(c, T.LongType()) for c in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [_measure(t or "") for t in batch.column(1).to_pylist()]
+            texts = batch.column(0).field("text") if whole else batch.column(1)
+            counts = [_measure(t or "") for t in texts.to_pylist()]
             columns = zip(*counts, strict=True) if counts else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], [batch.schema.names[0], *names])
 
