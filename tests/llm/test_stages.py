@@ -100,6 +100,25 @@ def test_whole_values_make_the_steps(spark):
         assert spark.range(1).select(hilbert.size_step(F.lit(n).cast("long"))).head()[0] == min(15, max(0, half))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_line_rule_equals_sql_on_copies(spark, tmp_path, seed):
+    """Tables full of copies, short bodies and shared passages: the sketches find what the exact SQL finds."""
+    from loomspark.llm import queries
+    from tests.oracle import compare
+
+    rng = random.Random(seed)
+    line = lambda name: " ".join(f"{name}w{k}" for k in range(rng.choice([3, 5, 12])))
+    shared, bodies = [line(f"shared{i}") for i in range(8)], [[line(f"body{i}x{j}") for j in range(rng.randrange(1, 6))] for i in range(40)]
+    rows = []
+    for i in range(400):
+        lines = list(rng.choice(bodies)) if rng.random() < 0.5 else [line(f"own{i}x{j}") for j in range(rng.randrange(0, 4))]
+        lines += rng.sample(shared, rng.randrange(0, 4))
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines) if i % 50 else None, "en", f"s{rng.randrange(9)}" if rng.random() < 0.95 else None))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare(spark, str(tmp_path), queries.QUERIES["op10_line_spread"], queries.ORACLES["op10_line_spread"]) == 400
+
+
 def test_scratch_is_deleted(spark, sf, tmp_path):
     import glob
 
