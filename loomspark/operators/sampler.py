@@ -141,7 +141,8 @@ def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count
     """
     neighbours = adjacency(edges)
     c = constraints or Constraints(low, high)
-    known = {r.node: r for r in nodes.toLocalIterator() if r.node in neighbours}
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct()  # as bounded as the edges are
+    known = {r.node: r for r in nodes.join(ends, "node", "left_semi").toLocalIterator()}
     has_tools = "tool" in nodes.columns
     graph = Graph(neighbours, {n: r.tool if has_tools else n for n, r in known.items()}, {n: r.domain for n, r in known.items()})
     shared = spark.sparkContext.broadcast((graph, c, constraints is not None))

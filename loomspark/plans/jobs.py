@@ -18,20 +18,17 @@ from loomspark.sources import catalogue as S
 def build(spark: SparkSession, source: str, out: str, least_score: float = 0.0, endpoint_range: tuple[int, int] = (1, 100), most_edges: int = 50, semantic: float | None = None, most_tools: int | None = None, strict: bool = False) -> DataFrame:
     """Reads JSON definitions below source and saves tools, endpoints, parameters, nodes and edges; returns the manifest.
 
-    Definitions are parsed once for each of the three tables; all else reads what is written. Types that a definition
+    Definitions are parsed once; all else reads what is written, what is nested as VARIANT. Types that a definition
     doesn't give are inferred from all that it says. With semantic, endpoints whose texts have this cosine are linked too.
     """
-    files = S.scan(spark, source, strict)
-    parsed = S.tools(S.records(files), most_tools)
-    found = S.endpoints(parsed)
 
     def written(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{out}/_parsed/{name}")
         return spark.read.parquet(f"{out}/_parsed/{name}")
 
-    tools = written(parsed.drop("endpoints"), "tools")
-    endpoints = written(found.select("endpoint_id", "tool_id", "ordinal", "name", "method", "path", "description", "response"), "endpoints")
-    parameters = written(S.parameters(found), "parameters")
+    tools = written(S.tools(S.records(S.scan(spark, source, strict)), most_tools), "tools")
+    endpoints = written(S.endpoints(tools), "endpoints")
+    parameters = written(S.parameters(endpoints), "parameters")
     guess = I.combine([I.from_name(F.col("name")), I.from_description(F.col("description")), I.from_default(F.col("default")), I.from_enum(F.col("enum_values")), I.from_place(F.col("location"))])
     parameters = parameters.withColumn("_guess", guess).withColumn("type", F.when(F.col("inferred") & (F.col("_guess.confidence") >= 0.3), F.col("_guess.type")).otherwise(F.col("type"))).drop("_guess")
     ends = endpoints.select(F.col("endpoint_id").alias("endpoint"), F.col("tool_id").alias("tool"), "name", "description", "method", "path", F.col("response.has_schema").alias("has_schema"))
