@@ -11,7 +11,7 @@ import hashlib
 import math
 import random
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -88,7 +88,11 @@ class _Node:
 
 
 def search(g: Graph, c: Constraints, rng: random.Random, rounds: int, explore: float = 1.4) -> list[int]:
-    """The most rewarded chain of distinct endpoints that the tree search from a random start plays out; empty without a start."""
+    """A chain of distinct endpoints by tree search from a random start; empty without a start.
+
+    It follows the most visited child from the root; if that chain doesn't satisfy the constraints, it is the most rewarded
+    one that was played out.
+    """
     starts = g.starts(c)
     if not starts:
         return []
@@ -117,7 +121,21 @@ def search(g: Graph, c: Constraints, rng: random.Random, rounds: int, explore: f
         for n in line:
             n.visits += 1
             n.total += got
-    return found
+    node = root
+    while node.children:
+        node = max(node.children, key=lambda k: k.visits)
+    return node.path if satisfied(node.path, g, c) else found
+
+
+#: Of a thousand chains of a batch, how many have just two steps (of any number of tools), and just three.
+SHORT, MEDIUM = 300, 400
+
+
+def of_length(c: Constraints, roll: int) -> Constraints:
+    """The constraints of a batch's chain whose lot below 1000 is `roll`."""
+    if roll < SHORT:
+        return replace(c, low=2, high=2, min_tools=1)
+    return replace(c, low=3, high=3) if roll < SHORT + MEDIUM else c
 
 
 def random_walk(g: Graph, c: Constraints, rng: random.Random, walks: int = 50) -> list[int]:
@@ -132,12 +150,13 @@ def random_walk(g: Graph, c: Constraints, rng: random.Random, walks: int = 50) -
     return []
 
 
-def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count: int, seed: int = 42, low: int = 2, high: int = 5, rounds: int = 60, candidates: int = 3, constraints: Constraints | None = None) -> DataFrame:
+def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count: int, seed: int = 42, low: int = 2, high: int = 5, rounds: int = 60, candidates: int = 3, constraints: Constraints | None = None, buckets: bool = False) -> DataFrame:
     """chain, path, pattern of `count` chains over nodes(node, domain[, tool]); without tools each node is its own.
 
     Of each chain's candidates the first whose tool set no earlier chain has (by number, then candidate) is
     taken, else its first one: the diversity that steering asks for, as one window over hashes. With constraints a
-    candidate that doesn't satisfy them is a random walk that does; chains that find none are left out.
+    candidate that doesn't satisfy them is a random walk that does; chains that find none are left out. With buckets
+    the chains' lengths are spread as those of a batch are (see of_length).
     """
     neighbours = adjacency(edges)
     c = constraints or Constraints(low, high)
@@ -148,10 +167,11 @@ def sample_chains(spark: SparkSession, edges: DataFrame, nodes: DataFrame, count
     shared = spark.sparkContext.broadcast((graph, c, constraints is not None))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, c, strict = shared.value
+        g, all_of_them, strict = shared.value
         for batch in batches:
             rows = []
             for chain in batch["id"] if g.neighbours else []:
+                c = of_length(all_of_them, int.from_bytes(hashlib.sha256(f"{seed}:{chain}:length".encode()).digest()[:8], "big") % 1000) if buckets else all_of_them
                 for k in range(candidates):
                     rng = random.Random(int.from_bytes(hashlib.sha256(f"{seed}:{chain}:{k}".encode()).digest()[:8], "big"))
                     path = search(g, c, rng, rounds)

@@ -577,6 +577,49 @@ def prompt_keys(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", S.prompt_key(prompt).alias("key"))
 
 
+# ---- calls executed, what a tracker counts, records
+
+
+@query("""SELECT l_orderkey AS conv, CAST(l_linenumber AS BIGINT) AS pos, l_suppkey AS endpoint, l_partkey, CASE WHEN s_suppkey IS NULL THEN 404 ELSE 200 END AS status, CASE WHEN s_suppkey IS NULL THEN 'Endpoint ' || l_suppkey || ' not found' END AS error,
+CASE WHEN s_suppkey IS NOT NULL THEN 'city=Rome,order_id=ORD-' || l_orderkey END AS given, CASE WHEN s_suppkey IS NOT NULL THEN 'order_id=ORD-' || l_orderkey END AS ids, CASE WHEN s_suppkey % 2 = 1 THEN 'id,name,order_id,status' WHEN s_suppkey % 2 = 0 THEN 'hotel_id,order_id' END AS taken
+FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 3 > 0) ON s_suppkey = l_suppkey""")
+def executed_calls(spark, sf):
+    from loomspark.operators import toolcalls as T
+
+    arguments = F.create_map(F.lit("order_id"), F.concat(F.lit("ORD-"), F.col("l_orderkey")), F.lit("city"), F.lit("Rome"))
+    calls = table(spark, sf, "lineitem").select(F.struct("l_orderkey", "l_partkey").alias("conv"), F.col("l_linenumber").cast("long").alias("pos"), F.col("l_suppkey").alias("endpoint"), arguments.alias("arguments"))
+    keys = F.when(F.col("s_suppkey") % 2 == 0, F.array(F.lit("hotel_id"), F.lit("type")))
+    known = table(spark, sf, "supplier").where("s_suppkey % 3 > 0").select(F.col("s_suppkey").alias("endpoint"), F.col("s_name").alias("name"), F.lit("GET").alias("method"), F.lit("/item").alias("path"), F.lit("").alias("domain"), keys.alias("keys"))
+    out = T.executed(calls.withColumn("conv", F.to_json("conv")), known)
+    told = lambda m: F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    data = F.try_variant_get(F.parse_json("data"), "$", "map<string,string>")
+    given = F.when(F.col("data").isNotNull(), told(F.map_filter(data, lambda k, v: k.isin("order_id", "city"))))
+    back = F.from_json("conv", "l_orderkey long, l_partkey long")
+    return out.select(back["l_orderkey"].alias("conv"), "pos", "endpoint", back["l_partkey"].alias("l_partkey"), "status", "error", given.alias("given"), told(F.col("ids")).alias("ids"), F.array_join(F.array_sort(F.map_keys("taken")), ",").alias("taken"))
+
+
+@query(f"""WITH {_CHAINS}, u AS (SELECT DISTINCT chain, CAST(tool AS VARCHAR) AS t FROM st)
+SELECT 'tool' AS kind, t AS key, count(*) AS n FROM u GROUP BY t UNION ALL SELECT 'domain', d, count(*) FROM (SELECT DISTINCT chain, CAST(tool % 5 AS VARCHAR) AS d FROM st) GROUP BY d
+UNION ALL SELECT 'pair', a.t || '|' || b.t, count(*) FROM u a JOIN u b ON a.chain = b.chain AND a.t < b.t GROUP BY ALL UNION ALL SELECT 'pattern', pattern, count(*) FROM ch GROUP BY pattern""")
+def tracker_counts(spark, sf):
+    from loomspark.streaming import tracker
+
+    c = D.chains(steps(spark, sf))
+    return tracker.tracked(c.select("tools", F.transform("tools", lambda t: t % 5).alias("domains"), "pattern"))
+
+
+@query("""SELECT conv_id, '{"conversation_id":"conv_' || conv_id || '","n":' || count(*) || ',"roles":"' || string_agg(role, ',' ORDER BY turn) || '","chars":' || sum(length(text)) || '}' AS json FROM conversations GROUP BY conv_id""")
+def conversation_records(spark, sf):
+    """Records as JSON lines, read again: their messages are all there, in order."""
+    c = table(spark, sf, "conversations")
+    messages = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("m"))
+    record = F.to_json(F.struct(F.concat(F.lit("conv_"), F.col("conv_id")).alias("conversation_id"), F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("messages")))
+    again = messages.select("conv_id", F.from_json(record, S.RECORD).alias("r"))
+    chars = F.aggregate("r.messages", F.lit(0).cast("long"), lambda s, x: s + F.length(x["content"]))
+    told = F.to_json(F.struct("r.conversation_id", F.size("r.messages").alias("n"), F.array_join(F.transform("r.messages", lambda x: x["role"]), ",").alias("roles"), chars.alias("chars")))
+    return again.select("conv_id", told.alias("json"))
+
+
 # ---- PageRank, unrolled
 
 

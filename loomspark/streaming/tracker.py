@@ -31,6 +31,18 @@ def usage(stream: DataFrame) -> DataFrame:
     return stream.groupBy("tool").agg(F.count("*").alias("uses"))
 
 
+def tracked(chains: DataFrame) -> DataFrame:
+    """chains(tools array, domains array, pattern), a table or a stream: kind (tool, domain, pair, pattern), key and how many chains have it.
+
+    A chain counts once for each of its distinct tools, domains and unordered pairs of tools; the state is a row for each key.
+    """
+    tools, domains = (F.array_sort(F.array_distinct(F.transform(F.col(c), lambda x: x.cast("string")))) for c in ("tools", "domains"))
+    pairs = F.flatten(F.transform(tools, lambda a, i: F.transform(F.slice(tools, i + 2, F.greatest(F.size(tools) - i - 1, F.lit(0))), lambda b: F.concat(a, F.lit("|"), b))))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("keys")) for k, v in (("tool", tools), ("domain", domains), ("pair", pairs), ("pattern", F.array(F.col("pattern"))))])
+    each = chains.select(F.explode(kinds).alias("x")).select("x.kind", F.explode("x.keys").alias("key"))
+    return each.groupBy("kind", "key").agg(F.count("*").alias("n"))
+
+
 def windowed(stream: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """stream(ts, event_type, value): tumbling counts and sums; rows later than `late` are left out."""
     return stream.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

@@ -204,3 +204,24 @@ def test_late_events(spark, tmp_path):
     q.awaitTermination(120)
     got = {r["window"].start.hour: (r.n, r.total) for r in spark.table("late_events").collect()}
     assert got[10] == (1, 1.0) and got[12] == (2, 6.0)
+
+
+def test_lengths_of_a_batch(spark):
+    c = sampler.Constraints(2, 5, 2)
+    assert [(x.low, x.high, x.min_tools) for x in (sampler.of_length(c, r) for r in (0, 299, 300, 699, 700))] == [(2, 2, 1), (2, 2, 1), (3, 3, 2), (3, 3, 2), (2, 5, 2)]
+    _, nodes, near = small_graph()
+    e = spark.createDataFrame([(a, b, 1.0) for a, bs in near.items() for b in bs if a < b], "src long, dst long, weight double")
+    n = spark.createDataFrame([(i, t, d) for i, (t, d) in nodes.items()], "node long, tool int, domain string")
+    lengths = [len(r.path) for r in sampler.sample_chains(spark, e, n, 200, constraints=c, buckets=True).collect()]
+    assert len(lengths) == 200 and 35 <= lengths.count(2) and 55 <= lengths.count(3) and max(lengths) <= 5
+
+
+def test_tracked_stream(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"tools": ["b", "a", "a"], "domains": ["x"], "pattern": "p"}\n{"tools": ["a"], "domains": [], "pattern": "q"}')
+    schema = StructType.fromDDL("tools array<string>, domains array<string>, pattern string")
+    q = tracker.tracked(spark.readStream.schema(schema).json(str(tmp_path / "in"))).writeStream.format("memory").queryName("tracked").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {(r.kind, r.key): r.n for r in spark.table("tracked").collect()} == {("tool", "a"): 2, ("tool", "b"): 1, ("domain", "x"): 1, ("pair", "a|b"): 1, ("pattern", "p"): 1, ("pattern", "q"): 1}
