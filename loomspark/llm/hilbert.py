@@ -64,7 +64,7 @@ def value_steps(rows: DataFrame, column: str) -> DataFrame:
     Values are dealt by ranges; only the ranges' sums meet in one task.
     """
     counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    dealt = stage(counts.repartitionByRange(8, F.col("value").asc_nulls_first()).withColumn("part", F.spark_partition_id()), "hilbert-values")
+    dealt = stage(counts.repartitionByRange(F.col("value").asc_nulls_first()).withColumn("part", F.spark_partition_id()), "hilbert-values")
     parts = dealt.groupBy("part").agg(F.sum("n").alias("all"))
     parts = parts.select(F.col("part").alias("_part"), F.coalesce(F.sum("all").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.sum("all").over(Window.partitionBy()).alias("total"))
     within = Window.partitionBy("part").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
