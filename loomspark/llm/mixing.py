@@ -6,7 +6,8 @@ j of a source takes block j of the source's shuffled token stream, and the strea
 
 The mix itself (mixed_documents) has whole documents: one that the schedule cuts at its source's end counts if half
 or more of it is taken, so a source's total may miss its target by half of one document. Each copy stands at the
-position of its first word, and the rows come in the order of positions.
+position of its first word. The rows of every partition, hence of every file, come in the order of positions; partitions
+are drawn by hash, so each is a mix of its own. One order over all costs another shuffle of the texts.
 
 Nulls and ties: a null source is a source of its own (last); null or blank texts have size 0 and are never
 taken; rows that are alike share the hash order and are interchangeable. An empty table gives no rows.
@@ -115,11 +116,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, i
     return every.join(info, every.source.eqNullSafe(info._source), "inner").select("doc_id", "size", "source_size", "target", "taken", "first_position", "source")
 
 
-def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken, in the schedule's order.
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: tuple[int, int] = (3, 2), most: int = 2, block_words: int = BLOCK_WORDS, one_order: bool = False) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as it is taken, in the schedule's order within each partition (one_order: over all).
 
-    Only ids and sizes go through the schedule; texts are joined once and dealt once by position. Rows that are
-    alike in all columns are one row with their repeats added up.
+    Only ids and sizes go through the schedule; texts are joined once. Rows that are alike in all columns are one
+    row with their repeats added up.
     """
     keyed = docs.select(row_key(docs).alias("_mix"), "doc_id", "source", "text")
     slim, _, pieces = taken_pieces(keyed, weights, share, most, block_words, ("_mix",))
@@ -127,7 +128,6 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     copies = stage(copies.where("2 * words >= size").select("_mix", "position"), "mix-copies")
     alike = stage(slim.where("size > 0").groupBy("_mix").agg(F.count("*").alias("n")).where("n > 1").select("_mix"), "mix-alike")
     rows = docs.select(row_key(docs).alias("_key"), packed(docs).alias("row"))
-    top = copies.agg(F.max("position")).head()[0] or 0
     # a row that is alone in its kind has its few positions listed; rows that are alike are one row that meets its many positions by a join
     few = broadcast_if_small(alike)
     listed = copies.join(few, "_mix", "left_anti").groupBy("_mix").agg(F.collect_list("position").alias("positions"))
@@ -135,6 +135,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share:
     if alike.head() is not None:
         one = rows.join(few, F.col("_key") == F.col("_mix"), "left_semi").groupBy("_key").agg(F.first("row").alias("row"))
         mixed = mixed.unionByName(one.join(copies.join(few, "_mix", "left_semi").hint("merge"), F.col("_key") == F.col("_mix")).select("row", "position"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = mixed.repartitionById(n, F.floor(F.col("position") * n / (top + 1)).cast("int"))
-    return dealt.sortWithinPartitions("position").select("row.*")
+    if one_order:
+        top = copies.agg(F.max("position")).head()[0] or 0
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        mixed = mixed.repartitionById(n, F.floor(F.col("position") * n / (top + 1)).cast("int"))
+    return mixed.sortWithinPartitions("position").select("row.*")

@@ -52,7 +52,7 @@ def test_mix_is_in_the_schedule_order(spark):
     """Every stretch of the mix has each source's share; a plain listing of what is taken would not."""
     rng = random.Random(1)
     rows = [(i, " ".join(f"w{rng.randrange(99)}" for _ in range(50)), "en", "abc"[min(2, i % 6 // 2)] if i % 6 else "d") for i in range(1200)]
-    out = mixing.mixed_documents(frame(spark, rows), block_words=100)
+    out = mixing.mixed_documents(frame(spark, rows), block_words=100, one_order=True)
     mixed = [r.source for r in out.collect()]
     share, seen = Counter(mixed), Counter()
     for k, s in enumerate(mixed, 1):
@@ -62,6 +62,19 @@ def test_mix_is_in_the_schedule_order(spark):
     assert sum(abs(Counter(r.doc_id for r in out.collect())[i] - n) for i, n in taken.items()) <= 4
 
 
+def test_each_file_of_the_mix_is_in_order(spark):
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"w{rng.randrange(99)}" for _ in range(50)), "en", "abc"[i % 3]) for i in range(600)]
+    first = {r.doc_id: r.first_position for r in mixing.mix(frame(spark, rows), block_words=100).collect()}
+    parts = defaultdict(list)
+    for r in mixing.mixed_documents(frame(spark, rows), block_words=100).select("doc_id", "source", F.spark_partition_id().alias("part")).collect():
+        parts[r.part].append((r.doc_id, r.source))
+    for mine in parts.values():
+        once = [first[i] for n, (i, _) in enumerate(mine) if i not in {j for j, _ in mine[:n]}]
+        assert once == sorted(once)
+        assert len(mine) < 30 or len({s for _, s in mine[: len(mine) // 3]}) == 3
+
+
 def test_first_position(spark):
     rows = [(i, "a b c d e f g", "en", "ab"[i % 2]) for i in range(40)]
     got = mixing.mix(frame(spark, rows), block_words=7).collect()
@@ -119,17 +132,17 @@ def test_line_rule_equals_sql_on_copies(spark, tmp_path, seed):
     assert compare(spark, str(tmp_path), queries.QUERIES["op10_line_spread"], queries.ORACLES["op10_line_spread"]) == 400
 
 
-def test_scratch_is_deleted(spark, sf, tmp_path):
-    import glob
+def test_scratch_is_deleted(spark, sf):
+    import os
+
+    from loomspark.llm import _common
 
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        n = corpus_pipeline.run(spark, sf).count()
-        left = {p.split("/")[-1].split("-")[0] for p in glob.glob(f"{tmp_path}/*")}
-        assert n and left == {"pipeline"} and len(glob.glob(f"{tmp_path}/*")) == 1
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+    folder = _common.shared_dir(spark).removeprefix("file://")
+    names = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before = names()
+    n = corpus_pipeline.run(spark, sf).count()
+    left = {name.split("-")[0] for name in names() - before}
+    assert n and left == {"pipeline"} and len(names() - before) == 1
 
 
 def test_ids_equal_those_of_tokenizers():
