@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from loomspark.functions.text import pattern_hash
+from loomspark.operators import graph as G
 
 
 def chains(steps: DataFrame) -> DataFrame:
@@ -113,11 +114,16 @@ def markdown(compared: DataFrame) -> str:
 
 def full_reward(steps: DataFrame, edges: DataFrame, low: int, high: int, least_tools: int, required: list, excluded: list) -> DataFrame:
     """steps(chain, step, node, tool, domain): chain, reward: 1 for a length within bounds, .5 for each tool, .3 for each domain, .2 for each
-    step along an edge; less .5 for each excluded tool that is there, each required one that isn't, a length out of bounds, too few tools."""
+    step along an edge (see graph.in_domains); less .5 for each excluded tool that is there, each required one that isn't, a length out of bounds, too few tools."""
     w = Window.partitionBy("chain").orderBy("step")
-    pair = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct().withColumn("linked", F.lit(1))
-    moved = steps.withColumn("after", F.lead("node").over(w)).withColumns({"u": F.least("node", "after"), "v": F.greatest("node", "after")})
-    walked = moved.where("after IS NOT NULL").join(pair, ["u", "v"]).groupBy("chain").agg(F.count("*").alias("linked"))
+    if G.in_domains(edges):
+        moved = G.placed(steps, edges).select("chain", "node", F.lead("node").over(w).alias("after"), "_domains", F.lead("_domains").over(w).alias("_after"))
+        along = moved.where((F.col("node") != F.col("after")) & F.arrays_overlap("_domains", "_after"))
+    else:
+        pair = edges.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
+        moved = steps.withColumn("after", F.lead("node").over(w)).withColumns({"u": F.least("node", "after"), "v": F.greatest("node", "after")})
+        along = moved.where("after IS NOT NULL").join(pair, ["u", "v"])
+    walked = along.groupBy("chain").agg(F.count("*").alias("linked"))
     has = lambda t: F.max((F.col("tool") == t).cast("int"))
     faults = sum((has(t) for t in excluded), F.lit(0)) + sum((1 - has(t) for t in required), F.lit(0))
     placed = F.when(F.coalesce(F.col("domain").cast("string"), F.lit("")) != "", F.col("domain"))

@@ -1,7 +1,8 @@
 """Chains given a pattern: parallel groups, a branch, a repeated step or a plain sequence.
 
 A made chain is an array of groups of nodes in order; the nodes of a group run side by side. Everything is
-keyed by the chain, whose steps are few; of a node's neighbours only the two least are ever kept.
+keyed by the chain, whose steps are few; of a node's neighbours only the two least are ever kept. Edges may be given
+as nodes(node, domain), where all of a domain are joined (see graph.in_domains).
 """
 
 from __future__ import annotations
@@ -41,12 +42,9 @@ def branched(steps: DataFrame, edges: DataFrame, seed: int = 42) -> DataFrame:
     Of several the least is taken. Where no step has one, a step with any neighbour, by the hash of chain, step
     and seed, is joined by its least neighbour; a chain without neighbours stays as it is.
     """
-    near = G.symmetric(edges.select("src", "dst")).where("src <> dst").select("src", "dst").distinct()
-    two = near.withColumn("r", F.row_number().over(Window.partitionBy("src").orderBy("dst"))).where("r <= 2")
-    two = two.groupBy(F.col("src").alias("node")).agg(F.array_sort(F.collect_list("dst")).alias("near"))
     along = Window.partitionBy("chain").orderBy("step")
     following = steps.select("chain", "step", "node", F.lead("node").over(along).alias("next"), F.lead("step").over(along).alias("next_step"))
-    options = following.join(two, "node", "left").withColumn("other", F.get(F.filter("near", lambda x: x != F.col("next")), F.lit(0)))
+    options = following.join(G.two_least(edges), "node", "left").withColumn("other", F.get(F.filter("near", lambda x: x != F.col("next")), F.lit(0)))
     lot = F.md5(F.concat_ws(":", F.col("chain").cast("string"), F.col("step").cast("string"), F.lit(str(seed))).cast("binary"))
     branch = F.min(F.when(F.col("other").isNotNull(), F.struct("step", F.col("next_step").alias("at"), "other")))
     spare = F.min(F.when(F.col("near").isNotNull(), F.struct(lot.alias("lot"), F.col("step").alias("at"), F.get("near", F.lit(0)).alias("other"))))
