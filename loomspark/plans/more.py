@@ -17,7 +17,7 @@ from loomspark.operators import graph as G
 from loomspark.operators import registry as R
 from loomspark.operators import reports as P
 from loomspark.operators import scoring
-from loomspark.plans.catalog import _CHAINS, _EDGES, _PRUNED, _STEPS, ORACLES, edges, endpoints, nodes, query, steps, table
+from loomspark.plans.catalog import _CHAINS, _EDGES, _PRUNED, _STEPS, ORACLES, endpoints, nodes, query, steps, table
 from loomspark.sources import catalogue as S
 
 # ---- ingest: definitions as JSON
@@ -468,7 +468,7 @@ k AS (SELECT a.chain, count(*) AS linked FROM st a JOIN st b ON a.chain = b.chai
 SELECT chain, CAST(round((n_steps BETWEEN 2 AND 5)::INT + 0.5 * tools + 0.3 * domains + 0.2 * coalesce(linked, 0) - 0.5 * (bad::INT + (NOT wanted)::INT + (NOT n_steps BETWEEN 2 AND 5)::INT + (tools < 2)::INT), 6) AS DOUBLE) AS reward FROM ch JOIN d USING (chain) LEFT JOIN k USING (chain)""")
 def chain_reward_full(spark, sf):
     s = steps(spark, sf).select("chain", "step", F.col("tool").alias("node"), (F.col("tool") % 25).alias("tool"), (F.col("tool") % 5).alias("domain"))
-    return D.full_reward(s, edges(spark, sf), 2, 5, 2, [4], [3]).withColumn("reward", F.round("reward", 6))
+    return D.full_reward(s, nodes(spark, sf), 2, 5, 2, [4], [3]).withColumn("reward", F.round("reward", 6))
 
 
 @query(f"""WITH {_CHAINS}, d AS (SELECT chain, count(DISTINCT tool % 25) AS tools, bool_or(tool % 25 = 3) AS bad, bool_or(tool % 25 = 4) AS wanted, bool_and(tool % 5 IN (0, 1, 4)) AS placed FROM st GROUP BY chain)

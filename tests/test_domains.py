@@ -5,6 +5,7 @@ import random
 import pytest
 
 
+from loomspark.operators import diversity as D
 from loomspark.operators import graph as G
 from loomspark.operators import patterns as M
 from loomspark.plans import catalog, detail, more  # noqa: F401  detail and more add their queries
@@ -78,3 +79,12 @@ def test_chain_patterns(spark):
 
 def test_pattern_classes(spark, sf, monkeypatch):
     query_without_pairs(spark, sf, monkeypatch, "pattern_classes")
+
+
+def test_full_reward(spark):
+    nodes, edges, steps = graph(spark)
+    same(D.full_reward(steps, nodes, 2, 5, 2, [4], [3]), D.full_reward(steps, edges, 2, 5, 2, [4], [3]))
+
+
+def test_chain_reward_full(spark, sf, monkeypatch):
+    query_without_pairs(spark, sf, monkeypatch, "chain_reward_full")
