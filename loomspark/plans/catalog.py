@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, *by: str, rows: int = 0) -> DataFrame:
+    """df dealt by the hash of columns, for work that is long or wide for its bytes: over four tasks a core, or as many as have half a million of `rows` each."""
+    return df.repartition(max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // 500_000)), *by)
+
+
 # ---- canonical relations
 
 _TIER = "CASE WHEN s_acctbal >= 7000 THEN 'high' WHEN s_acctbal >= 4000 THEN 'medium' ELSE 'low' END"

@@ -17,7 +17,7 @@ from loomspark.operators import graph as G
 from loomspark.operators import registry as R
 from loomspark.operators import reports as P
 from loomspark.operators import scoring
-from loomspark.plans.catalog import _CHAINS, _EDGES, _PRUNED, _STEPS, ORACLES, endpoints, nodes, query, steps, table
+from loomspark.plans.catalog import _CHAINS, _EDGES, _PRUNED, _STEPS, ORACLES, endpoints, nodes, query, spread, steps, table
 from loomspark.sources import catalogue as S
 
 # ---- ingest: definitions as JSON
@@ -89,7 +89,8 @@ CASE WHEN p_size % 2 = 0 THEN 'path' ELSE 'query' END AS location, p_size % 5 =
 def parameter_fields(spark, sf):
     kind = F.when(F.col("p_size") % 3 == 0, "int64").when(F.col("p_size") % 3 == 1, "bool").otherwise("")
     raw = F.struct(F.lit("").alias("name"), F.col("p_name").alias("param_name"), kind.alias("type"), F.when(F.col("p_size") % 2 == 0, "path").alias("in"), (F.col("p_size") % 5 == 0).alias("is_required"), F.when(F.col("p_size") % 4 == 0, 0).otherwise(F.col("p_size")).alias("default"))
-    p = table(spark, sf, "part").select("p_partkey", S.parameter_fields(F.parse_json(F.to_json(raw))).alias("x"))
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), "p_partkey").withColumn("raw", F.parse_json(F.to_json(raw)))  # parsed once a row
+    p = S.with_parameter_fields(p, "raw", "x")
     return p.select("p_partkey", "x.name", "x.type", "x.has_type", "x.location", "x.required", F.col("x.default").alias("dflt"))
 
 

@@ -198,15 +198,31 @@ def endpoint_fields(raw: Column) -> Column:
 
 def parameter_fields(raw: Column) -> Column:
     """struct of a raw parameter's cleaned fields; a default of 0 or false is passed over as an empty one is."""
-    name = X.clean_name(F.coalesce(_or(raw, "name param_name key"), F.lit("")))
-    given = _or(raw, "type param_type data_type")
-    kind = X.parameter_type(F.coalesce(given, F.lit("")))
-    required = X.required_flag(F.coalesce(F.try_variant_get(raw, "$.required", "string"), F.try_variant_get(raw, "$.is_required", "string")))
+    said = _parameter_said(raw)
+    return _parameter_cleaned(said, X.parameter_type(said["type"]))
+
+
+def with_parameter_fields(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """df with the column parameter_fields(raw) under this name. Each step is a column, so that it is taken once a row and not for each use."""
+    said = _parameter_said(F.col(raw))
+    out = df.withColumns({f"_said_{k}": v for k, v in said.items()}).withColumn("_kind", X.parameter_type(F.col("_said_type")))
+    return out.select(*df.columns, _parameter_cleaned({k: F.col(f"_said_{k}") for k in said}, F.col("_kind")).alias(name))
+
+
+def _parameter_said(raw: Column) -> dict[str, Column]:
     empty = lambda c: F.when(c.isin("0", "0.0", "false", "[]", "{}"), F.lit(None)).otherwise(c)
-    default = _filled(*[empty(F.try_variant_get(raw, f"$.{n}", "string")) for n in ("default", "default_value")])
+    return {
+        "name": F.coalesce(_or(raw, "name param_name key"), F.lit("")), "description": _or(raw, "description desc"), "type": F.coalesce(_or(raw, "type param_type data_type"), F.lit("")),
+        "location": F.coalesce(_or(raw, "in location param_in"), F.lit("")), "required": F.coalesce(F.try_variant_get(raw, "$.required", "string"), F.try_variant_get(raw, "$.is_required", "string")),
+        "default": _filled(*[empty(F.try_variant_get(raw, f"$.{n}", "string")) for n in ("default", "default_value")]), "enum": F.try_variant_get(raw, "$.enum", "array<string>"),
+    }
+
+
+def _parameter_cleaned(said: dict[str, Column], kind: Column) -> Column:
+    name = X.clean_name(said["name"])
     return F.struct(
-        name.alias("name"), X.description(_or(raw, "description desc"), name).alias("description"), F.when(kind == "unknown", "string").otherwise(kind).alias("type"), (kind != "unknown").alias("has_type"),
-        X.location(F.coalesce(_or(raw, "in location param_in"), F.lit(""))).alias("location"), required.alias("required"), coerced(default, kind).alias("default"), F.try_variant_get(raw, "$.enum", "array<string>").alias("enum_values"),
+        name.alias("name"), X.description(said["description"], name).alias("description"), F.when(kind == "unknown", "string").otherwise(kind).alias("type"), (kind != "unknown").alias("has_type"),
+        X.location(said["location"]).alias("location"), X.required_flag(said["required"]).alias("required"), coerced(said["default"], kind).alias("default"), said["enum"].alias("enum_values"),
     )
 
 

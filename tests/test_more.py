@@ -225,3 +225,13 @@ def test_tracked_stream(spark, tmp_path):
     q = tracker.tracked(spark.readStream.schema(schema).json(str(tmp_path / "in"))).writeStream.format("memory").queryName("tracked").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert {(r.kind, r.key): r.n for r in spark.table("tracked").collect()} == {("tool", "a"): 2, ("tool", "b"): 1, ("domain", "x"): 1, ("pair", "a|b"): 1, ("pattern", "p"): 1, ("pattern", "q"): 1}
+
+
+def test_parameter_fields_by_column(spark):
+    """The same fields as the expression gives, with the raw parameter taken once for each field and not for each use."""
+    rows = ['{"name": "", "param_name": " a! ", "type": "int64", "in": "path", "is_required": true, "default": 7}', '{"key": "k", "data_type": "bool", "default": "yes", "enum": ["x"]}', '{"type": "list", "default": 0, "default_value": "[1]", "description": "the k"}', "{}", None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i long, r string").select("i", F.parse_json("r").alias("r"))
+    got = S.with_parameter_fields(df, "r", "x")
+    assert got.columns == ["i", "r", "x"] and got.select("i", "x").orderBy("i").collect() == df.select("i", S.parameter_fields(F.col("r")).alias("x")).orderBy("i").collect()
+    uses = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get")
+    assert 4 * uses(got.select("x.type", "x.default")) < uses(df.select(S.parameter_fields(F.col("r")).alias("x")).select("x.type", "x.default"))
