@@ -70,7 +70,9 @@ def pruned(spark, sf, k):
 
 def steps(spark, sf):
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("chain"), F.row_number().over(order).alias("step"), F.col("l_suppkey").alias("tool"))
+    lines = table(spark, sf, "lineitem")
+    lines = spread(lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"), "l_orderkey", rows=lines.count())  # instead of the window's own exchange
+    return lines.select(F.col("l_orderkey").alias("chain"), F.row_number().over(order).alias("step"), F.col("l_suppkey").alias("tool"))
 
 
 _STEPS = "st AS (SELECT l_orderkey AS chain, l_suppkey AS tool, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS step FROM lineitem)"

@@ -88,3 +88,10 @@ def test_full_reward(spark):
 
 def test_chain_reward_full(spark, sf, monkeypatch):
     query_without_pairs(spark, sf, monkeypatch, "chain_reward_full")
+
+
+def test_lines_of_a_task(spark, sf):
+    """Steps are dealt by chain with a bound on the lines of a task, whatever spark.sql.shuffle.partitions is (4 here)."""
+    assert catalog.spread(spark.range(10), "id", rows=50_000_000).rdd.getNumPartitions() == 100
+    few = 4 * spark.sparkContext.defaultParallelism
+    assert catalog.steps(spark, sf).rdd.getNumPartitions() == few > 4
