@@ -90,16 +90,18 @@ def executed(calls: DataFrame, registry: DataFrame, *seed: str) -> DataFrame:
     An unknown endpoint is 404. data is the mock response as JSON, in which the arguments come back; ids are its identifiers
     (a key with id, a value like ABC-1234), taken is what later calls may use, with the ids.
     """
+    # What is used more than once is a column, as each use of an expression would parse or make it again
     c = calls.join(registry.withColumn("_known", F.lit(True)), "endpoint", "left")
     key = [F.col(x) for x in ("conv", "pos", *seed)]
     made = Q.response(F.col("name"), F.col("method"), F.col("path"), F.col("domain"), F.col("keys"), *key)
-    fields = F.try_variant_get(F.parse_json(made), "$", "map<string,variant>")
-    given = F.coalesce(F.transform_values("arguments", lambda k, v: v.cast("variant")), F.create_map().cast("map<string,variant>"))
-    data = F.when(F.col("_known"), F.map_concat(F.map_filter(fields, lambda k, v: ~F.map_contains_key(given, k)), given))
-    c = c.withColumn("data", F.to_json(data))
-    texts = F.try_variant_get(F.parse_json("data"), "$", "map<string,string>")
-    ids = F.map_filter(texts, lambda k, v: F.contains(F.lower(k), F.lit("id")) & F.coalesce(v.rlike("^[A-Z]+-[0-9]+$"), F.lit(False)))
-    taken = Q.extracted(F.parse_json("data"), F.coalesce("keys", F.array().cast("array<string>")))
-    all_ = F.map_concat(F.map_filter(taken, lambda k, v: ~F.map_contains_key(ids, k)), ids)
+    c = c.withColumn("_given", F.coalesce(F.transform_values("arguments", lambda k, v: v.cast("variant")), F.create_map().cast("map<string,variant>")))
+    c = c.withColumn("_made", F.when(F.col("_known"), F.try_variant_get(F.parse_json(made), "$", "map<string,variant>")))
+    given = F.col("_given")
+    data = F.when(F.col("_known"), F.map_concat(F.map_filter("_made", lambda k, v: ~F.map_contains_key(given, k)), given))
+    c = c.withColumn("data", F.to_json(data)).withColumn("_data", F.parse_json("data"))
+    texts = F.try_variant_get("_data", "$", "map<string,string>")
+    c = c.withColumn("ids", F.map_filter(texts, lambda k, v: F.contains(F.lower(k), F.lit("id")) & F.coalesce(v.rlike("^[A-Z]+-[0-9]+$"), F.lit(False))))
+    c, ids = c.withColumn("_taken", Q.extracted(F.col("_data"), F.coalesce("keys", F.array().cast("array<string>")))), F.col("ids")
+    all_ = F.map_concat(F.map_filter("_taken", lambda k, v: ~F.map_contains_key(ids, k)), ids)
     status, error = F.when(F.col("_known"), 200).otherwise(404), F.when(F.col("_known").isNull(), F.concat(F.lit("Endpoint "), F.col("endpoint").cast("string"), F.lit(" not found")))
-    return c.select("conv", "pos", "endpoint", status.alias("status"), error.alias("error"), "data", ids.alias("ids"), all_.alias("taken"))
+    return c.select("conv", "pos", "endpoint", status.alias("status"), error.alias("error"), "data", "ids", all_.alias("taken"))

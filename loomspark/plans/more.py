@@ -591,12 +591,11 @@ def executed_calls(spark, sf):
     calls = table(spark, sf, "lineitem").select(F.struct("l_orderkey", "l_partkey").alias("conv"), F.col("l_linenumber").cast("long").alias("pos"), F.col("l_suppkey").alias("endpoint"), arguments.alias("arguments"))
     keys = F.when(F.col("s_suppkey") % 2 == 0, F.array(F.lit("hotel_id"), F.lit("type")))
     known = table(spark, sf, "supplier").where("s_suppkey % 3 > 0").select(F.col("s_suppkey").alias("endpoint"), F.col("s_name").alias("name"), F.lit("GET").alias("method"), F.lit("/item").alias("path"), F.lit("").alias("domain"), keys.alias("keys"))
-    out = T.executed(calls.withColumn("conv", F.to_json("conv")), known)
-    told = lambda m: F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    out = T.executed(calls, known)
+    told = lambda m: F.array_join(F.sort_array(F.transform(F.map_entries(m), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
     data = F.try_variant_get(F.parse_json("data"), "$", "map<string,string>")
     given = F.when(F.col("data").isNotNull(), told(F.map_filter(data, lambda k, v: k.isin("order_id", "city"))))
-    back = F.from_json("conv", "l_orderkey long, l_partkey long")
-    return out.select(back["l_orderkey"].alias("conv"), "pos", "endpoint", back["l_partkey"].alias("l_partkey"), "status", "error", given.alias("given"), told(F.col("ids")).alias("ids"), F.array_join(F.array_sort(F.map_keys("taken")), ",").alias("taken"))
+    return out.select(F.col("conv.l_orderkey").alias("conv"), "pos", "endpoint", F.col("conv.l_partkey").alias("l_partkey"), "status", "error", given.alias("given"), told(F.col("ids")).alias("ids"), F.array_join(F.sort_array(F.map_keys("taken")), ",").alias("taken"))
 
 
 @query(f"""WITH {_CHAINS}, u AS (SELECT DISTINCT chain, CAST(tool AS VARCHAR) AS t FROM st)

@@ -142,3 +142,12 @@ def test_parameters_of_endpoints(spark):
     assert not {"name", "description"} & set(got.columns)
     assert sorted(P.documented(got).collect()) == sorted(P.documented(whole).collect()) == [(10, 2, 2), (11, 1, 2)]
     assert sorted(P.endpoint_scores(e, got).collect()) == sorted(P.endpoint_scores(e, whole).collect())
+
+
+def test_executed_parses_once(spark):
+    """The response of a call and its data are parsed once each; every use parsed them again before."""
+    calls = spark.createDataFrame([(1, 1, 5, {"order_id": "ORD-1"}), (1, 2, 6, None)], "conv long, pos long, endpoint long, arguments map<string,string>")
+    known = spark.createDataFrame([(5, "n", "GET", "/item", "", ["hotel_id"])], "endpoint long, name string, method string, path string, domain string, keys array<string>")
+    out = T.executed(calls, known)
+    assert [(r.status, r.ids, r.taken and sorted(r.taken)) for r in out.orderBy("pos").collect()] == [(200, {"order_id": "ORD-1"}, ["hotel_id", "order_id"]), (404, None, None)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("parse_json") + out._jdf.queryExecution().optimizedPlan().toString().count("parseJson") <= 2
